@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PREVIEW_CHARS = 500
@@ -19,6 +19,18 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def fence(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add costly columns so that later filters use their values.
+
+    The optimizer moves a filter below a projection by putting the projected
+    expressions into it, which would compute them again - over a chain of
+    projections, exponentially often. It does not do so across a generator, so
+    the columns are handed through one that yields exactly one row.
+    """
+    named = F.struct(*[column.alias(name) for name, column in columns.items()])
+    return df.select("*", F.inline(F.array(named)))
+
+
 def strip_ws(text: Column) -> Column:
     """Strip Unicode whitespace (and the four ASCII separator controls) from both ends."""
     # The look-behind lets a trailing run be tried only from its start: linear on any text.

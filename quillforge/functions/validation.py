@@ -27,7 +27,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillforge.functions.text import strip_ws
+from quillforge.functions.text import fence, strip_ws
 from quillforge.schema.kinds import (
     AnyObject,
     Boolean,
@@ -358,7 +358,8 @@ def validate(
     staged = add(staged, _type_stage(root, get))
     staged = add(staged, _value_stage(root, get))
     staged = add(staged, _code_stage(root, get))
-    staged = staged.withColumn(errors, _errors(root, get))
-    staged = staged.withColumn(is_valid, F.size(errors) == 0)
-    staged = staged.withColumn(output, F.when(F.col(is_valid), _value(root, get)))
-    return staged.drop(*temporary)
+    staged = add(staged, {"errors": _errors(root, get)})
+    found = get("errors")
+    sound = F.size(found) == 0
+    fenced = fence(staged, {errors: found, is_valid: sound, output: F.when(sound, _value(root, get))})
+    return fenced.drop(*temporary)

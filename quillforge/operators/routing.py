@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quillforge.functions.chat import dump_json
 from quillforge.functions.payload import payload
-from quillforge.functions.text import output_key, preview, sample_key
+from quillforge.functions.text import fence, output_key, preview, sample_key
 from quillforge.functions.validation import validate
 from quillforge.schema.kinds import PayloadSchema
 
@@ -16,7 +16,7 @@ VALID, SCHEMA_INVALID, NO_JSON, ERROR = "valid", "schema_invalid", "no_json", "e
 
 def extract_replies(df: DataFrame, schema: PayloadSchema, reply: str = "reply") -> DataFrame:
     """Add ``payload`` (raw JSON text), ``errors``, ``output`` (normalised) and ``status`` to every row."""
-    found = df.withColumn("_found", payload(F.col(reply), schema.root.accepts_empty))
+    found = fence(df, {"_found": payload(F.col(reply), schema.root.accepts_empty)})
     found = found.withColumns({"payload": F.col("_found.text"), "_object": F.col("_found.object")})
     checked = validate(found, "_object", schema.root, is_valid="_is_valid")
     status = (

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quillforge.functions.chat import has_chat_shape, message_content, render_chat, same_prompt
 from quillforge.functions.payload import strict_object, strip_tags
+from quillforge.functions.text import fence
 from quillforge.functions.tokens import TokenizerFactory, token_count
 from quillforge.functions.validation import validate
 from quillforge.operators.audits import retention
@@ -59,7 +60,8 @@ def check_training_lines(lines: DataFrame, schema: PayloadSchema, system_prompt:
 def with_token_counts(checked: DataFrame, tokenizer: TokenizerFactory | None = None) -> DataFrame:
     """Add ``n_tokens`` of the rendered chat; rejected lines are not tokenised."""
     text = F.when(F.col("reject_reason").isNull(), render_chat(F.col("messages")))
-    return checked.withColumn("n_tokens", token_count(text, tokenizer))
+    counted = checked.withColumn("_n", token_count(text, tokenizer))
+    return fence(counted, {"n_tokens": F.col("_n")}).drop("_n")
 
 
 def exclude_overlong(df: DataFrame, max_seq_length: int, tokens: str = "n_tokens") -> DataFrame:

@@ -29,7 +29,7 @@ _MEMBER_SCHEMA = "path string, member string, member_pos long, raw string, error
 _INDEX_SCHEMA = "path string, member string, member_pos long, offset long, size long, error string"
 
 
-def _open_location(path: str) -> tuple[pafs.FileSystem, str]:
+def open_location(path: str) -> tuple[pafs.FileSystem, str]:
     """File system and path behind a Spark path."""
     uri = re.sub(r"^file:/+", "file:///", path)
     uri = re.sub(r"^s3[an]://", "s3://", uri)
@@ -90,7 +90,7 @@ def _per_path(make: Callable[[str], Iterator[tuple]], rows: Callable[[], _Rows])
 def _read_stream(path: str) -> Iterator[tuple]:
     """Document members of an archive, read front to back."""
     try:
-        filesystem, location = _open_location(path)
+        filesystem, location = open_location(path)
         with filesystem.open_input_stream(location, compression=None) as source:
             mode = "r|gz" if path.endswith(".gz") else "r|"
             with tarfile.open(fileobj=source, mode=mode) as tar:
@@ -105,7 +105,7 @@ def _read_stream(path: str) -> Iterator[tuple]:
 def _read_index(path: str) -> Iterator[tuple]:
     """Position and size of the document members of a plain archive."""
     try:
-        filesystem, location = _open_location(path)
+        filesystem, location = open_location(path)
         with filesystem.open_input_file(location) as source, tarfile.open(fileobj=source, mode="r:") as tar:
             for position, member in enumerate(tar):
                 if member.isreg() and _is_document(member.name):
@@ -124,7 +124,7 @@ def _read_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             raw = None
             if row["error"] is None:
                 if path not in opened:
-                    filesystem, location = _open_location(path)
+                    filesystem, location = open_location(path)
                     opened[path] = filesystem.open_input_file(location)
                 raw = opened[path].read_at(row["size"], row["offset"]).decode("utf-8", "replace")
             out.add(path, row["member"], row["member_pos"], raw, row["error"])

@@ -2,23 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillforge.functions.text import base_name, batch_name, is_archive
 from quillforge.operators.ordering import first_match
 
 
+def relative_key(path: Column, folder: str) -> Column:
+    """Part of a path below a folder, however the two spell the file system."""
+    root = re.sub(r"^file:/+", "/", folder.rstrip("/")).split("://")[-1] + "/"
+    return F.substring_index(path, root, -1)
+
+
+def file_path() -> Column:
+    """Path of the file a row was read from, percent-encoding undone."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
 def list_objects(spark: SparkSession, folder: str, pattern: str | None = None, recursive: bool = True) -> DataFrame:
     """Complete listing below a folder: full path, key relative to the folder, size and time. Contents are not read."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if pattern is not None:
         reader = reader.option("pathGlobFilter", pattern)
     listing = reader.load(folder).drop("content")
-    root = folder.rstrip("/").split("://")[-1] + "/"
-    # Spark reports absolute paths, the caller may have given a relative one
-    key = F.substring_index(F.col("path"), F.lit(root), -1)
-    return listing.select("path", key.alias("key"), "length", "modificationTime")
+    return listing.select("path", relative_key(F.col("path"), folder).alias("key"), "length", "modificationTime")
 
 
 def list_document_batches(spark: SparkSession, folder: str) -> DataFrame:

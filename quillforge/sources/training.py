@@ -12,7 +12,7 @@ from quillforge.functions.validation import validate
 from quillforge.operators.audits import require_single_file
 from quillforge.schema.kinds import PayloadSchema
 from quillforge.schema.samples import TRAINING_EXAMPLE
-from quillforge.sources.objects import list_objects
+from quillforge.sources.objects import file_path, list_objects, relative_key
 
 
 def read_training_batches(spark: SparkSession, folder: str, names: Sequence[str]) -> DataFrame:
@@ -25,12 +25,11 @@ def read_training_batches(spark: SparkSession, folder: str, names: Sequence[str]
     files = require_single_file(listing, names)
     root = folder.rstrip("/")
     lines = spark.read.text([f"{root}/{files[name]}" for name in files])
-    path = F.col("_metadata.file_path")
-    batch = F.substring_index(F.substring_index(path, F.lit(root.split("://")[-1] + "/"), -1), "/", 1)
+    batch = F.substring_index(relative_key(file_path(), folder), "/", 1)
     placed = lines.select(
         batch.alias("batch_name"),
         "value",
-        path.alias("_file"),
+        file_path().alias("_file"),
         F.format_string("%016d-%016d", F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("_at"),
     )
     order = spark.createDataFrame([(name, i) for i, name in enumerate(files)], "batch_name string, batch_pos int")
@@ -59,5 +58,5 @@ def parse_training_examples(files: DataFrame, schema: PayloadSchema, text: str =
 def read_training_examples(spark: SparkSession, folder: str, schema: PayloadSchema) -> DataFrame:
     """The ``*.json`` files directly in a folder (sub-folders such as ``invalid/`` are left out)."""
     files = spark.read.option("pathGlobFilter", "*.json").text(f"{folder.rstrip('/')}/*.json", wholetext=True)
-    named = files.select("value", F.substring_index(F.col("_metadata.file_path"), "/", -1).alias("file_name"))
+    named = files.select("value", F.substring_index(file_path(), "/", -1).alias("file_name"))
     return parse_training_examples(named, schema)

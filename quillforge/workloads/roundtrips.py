@@ -24,7 +24,7 @@ from quillforge.operators.routing import VALID, to_samples
 from quillforge.schema.samples import TWO_FIELD
 from quillforge.session import stage_folder
 from quillforge.sinks.tables import write_batch_requests, write_quarantine, write_samples
-from quillforge.sources.archives import _open_location, read_document_batches
+from quillforge.sources.archives import open_location, read_document_batches
 from quillforge.sources.objects import list_document_batches
 from quillforge.sources.replies import read_batch_outputs
 from quillforge.sources.training import parse_training_examples, read_training_batches
@@ -170,7 +170,7 @@ def write_archives(docs: DataFrame, folder: str) -> None:
                 data = row["raw"].encode()
                 info.size = len(data)
                 tar.addfile(info, io.BytesIO(data))
-        filesystem, location = _open_location(f"{folder}/{name}" if "://" in folder else f"file://{folder}/{name}")
+        filesystem, location = open_location(f"{folder}/{name}")
         filesystem.create_dir(location.rsplit("/", 1)[0], recursive=True)
         with filesystem.open_output_stream(location) as sink:
             sink.write(buffer.getvalue())
