@@ -68,14 +68,17 @@ def strict_object(text: Column) -> Column:
     def checked(t: Column) -> Column:
         mark = F.xxhash64(t)
         wrapped = F.concat(F.lit("["), t, F.lit(","), mark.cast("string"), F.lit("]"))
-        # The lenient reader is the only one that knows NaN; it is used only where such a token occurs.
-        lenient = F.from_json(wrapped, "variant", {"allowSingleQuotes": "false"})
-        parsed = F.when(t.rlike("NaN|Infinity"), lenient).otherwise(F.try_parse_json(wrapped))
+        # Only texts with such tokens are read with non-numeric numbers allowed: the reader knows more spellings.
+        strict, lenient = (
+            F.from_json(wrapped, "array<variant>", {"allowSingleQuotes": "false", "allowNonNumericNumbers": flag})
+            for flag in ("false", "true")
+        )
+        parsed = F.when(t.rlike("NaN|Infinity"), lenient).otherwise(strict)
         return let(
             parsed,
             lambda w: F.when(
-                (F.try_variant_get(w, "$[1]", "bigint") == mark) & F.try_variant_get(w, "$[2]", "variant").isNull(),
-                F.try_variant_get(w, "$[0]", "variant"),
+                (F.size(w) == 2) & (F.to_json(F.get(w, F.lit(1))) == mark.cast("string")),
+                F.get(w, F.lit(0)),
             ),
         )
 

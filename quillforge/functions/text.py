@@ -10,6 +10,12 @@ from pyspark.sql import functions as F
 PREVIEW_CHARS = 500
 SLUG_CHARS = 40
 
+# Fixed value: every character that counts as white space.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
 # Fixed value: base names of document members, old and new style.
 DOCUMENT_MEMBER = r"document_.*\.json|[0-9a-f]{32}\.json\n?"
 
@@ -27,14 +33,14 @@ def fence(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     projections, exponentially often. It does not do so across a generator, so
     the columns are handed through one that yields exactly one row.
     """
-    named = F.struct(*[column.alias(name) for name, column in columns.items()])
-    return df.select("*", F.inline(F.array(named)))
+    computed = df.withColumns({f"_fenced_{name}": column for name, column in columns.items()})
+    named = F.struct(*[F.col(f"_fenced_{name}").alias(name) for name in columns])
+    return computed.select(*df.columns, F.inline(F.array(named)))
 
 
 def strip_ws(text: Column) -> Column:
     """Strip Unicode whitespace (and the four ASCII separator controls) from both ends."""
-    # The look-behind lets a trailing run be tried only from its start: linear on any text.
-    return F.regexp_replace(text, r"(?U)^[\s\x1c-\x1f]++|(?<![\s\x1c-\x1f])[\s\x1c-\x1f]++\z", "")
+    return F.btrim(text, F.lit(WHITESPACE))
 
 
 def content_hash(content: Column) -> Column:

@@ -4,13 +4,15 @@ The rules are those of a lax data-class validator: numbers may come as text,
 integers as integral floats, booleans as words, but text only as text; unknown
 members are ignored unless forbidden; missing and null are different things.
 
-A schema tree is compiled once into four stages of columns, each reading only
-the columns of the stage before:
+A schema tree is compiled once into stages of columns, each reading only the
+columns of the stages before:
 
 1. the raw value of every declared member, by path;
 2. its JSON type;
-3. its error code and coerced value;
-4. the list of errors and the normalised struct.
+3. its text, if it is a scalar;
+4. its coerced value;
+5. its error code;
+6. the list of errors and the normalised struct.
 
 At the top level the stages are ordinary projections, so every intermediate
 value is computed once and the whole chain stays in one code-generated stage.
@@ -125,63 +127,76 @@ def _type_stage(root: _Node, get: Get) -> dict[str, Column]:
     return out
 
 
-def _number_of(x: Column, t: Column) -> Column:
-    """Double value of a JSON number; null for anything else."""
-    numeric = t.isin("BIGINT", "DOUBLE", "FLOAT") | F.startswith(t, F.lit("DECIMAL"))
-    return F.when(numeric, F.try_variant_get(x, "$", "double"))
+def _word_stage(root: _Node, get: Get) -> dict[str, Column]:
+    """Text of every scalar member: strings as they are (stripped where a number is meant), numbers and booleans as written.
+
+    Casting a VARIANT to a number builds a cast per value; casting its text is compiled code.
+    """
+    out: dict[str, Column] = {}
+    for n in root.walk():
+        if isinstance(n.kind, (Items, Record, AnyObject)):
+            continue
+        x, t = get(f"{n.key}_x"), get(f"{n.key}_t")
+        text = F.try_variant_get(x, "$", "string")
+        if isinstance(n.kind, (Text, Choice)):
+            out[f"{n.key}_w"] = F.when(t == "STRING", text)
+        else:
+            if not isinstance(n.kind, Boolean):
+                text = strip_ws(text)
+            out[f"{n.key}_w"] = F.when(t == "STRING", text).when(_is_number(t) | (t == "BOOLEAN"), F.to_json(x))
+    return out
 
 
-def _text_of(x: Column, t: Column) -> Column:
-    return F.when(t == "STRING", F.try_variant_get(x, "$", "string"))
+def _is_number(t: Column) -> Column:
+    return t.isin("BIGINT", "DOUBLE", "FLOAT") | F.startswith(t, F.lit("DECIMAL"))
 
 
-def _integer(x: Column, t: Column) -> Column:
-    text = strip_ws(_text_of(x, t))
-    number = _number_of(x, t)
+def _integer(t: Column, w: Column) -> Column:
+    number = w.try_cast("double")
     integral = (number == F.floor(number)) & (F.abs(number) < F.lit(2.0**63))
-    digits = F.regexp_replace(text, r"_|\.0+\z", "")
+    digits = F.regexp_replace(w, r"_|\.0+\z", "")
     return (
-        F.when(t == "BIGINT", F.try_variant_get(x, "$", "bigint"))
-        .when(t == "BOOLEAN", F.try_variant_get(x, "$", "boolean").cast("bigint"))
-        .when(t == "STRING", F.when(text.rlike(_INT_TEXT), digits.try_cast("bigint")))
-        .otherwise(F.when(integral, number.try_cast("bigint")))
+        F.when(t == "BIGINT", w.try_cast("bigint"))
+        .when(t == "BOOLEAN", (w == "true").cast("bigint"))
+        .when(t == "STRING", F.when(w.rlike(_INT_TEXT), digits.try_cast("bigint")))
+        .when(integral, number.try_cast("bigint"))
     )
 
 
-def _double(x: Column, t: Column) -> Column:
-    text = strip_ws(_text_of(x, t))
-    digits = F.replace(text, F.lit("_"), F.lit(""))
+def _double(x: Column, t: Column, w: Column) -> Column:
+    digits = F.replace(w, F.lit("_"), F.lit(""))
     parsed = F.when(F.contains(F.lower(digits), F.lit("nan")), F.lit(float("nan"))).otherwise(
         digits.try_cast("double")
     )
     return (
-        F.when(t == "STRING", F.when(~text.rlike(_BAD_UNDERSCORE) & digits.rlike(_FLOAT_TEXT), parsed))
-        .when(t == "BOOLEAN", F.try_variant_get(x, "$", "boolean").cast("double"))
-        .otherwise(_number_of(x, t))
+        F.when(t == "STRING", F.when(~w.rlike(_BAD_UNDERSCORE) & digits.rlike(_FLOAT_TEXT), parsed))
+        .when(t == "BOOLEAN", (w == "true").cast("double"))
+        .when(t == "DOUBLE", F.try_variant_get(x, "$", "double"))
+        .otherwise(w.try_cast("double"))
     )
 
 
-def _boolean(x: Column, t: Column) -> Column:
-    word = F.lower(_text_of(x, t))
-    number = _number_of(x, t)
+def _boolean(t: Column, w: Column) -> Column:
+    word = F.lower(w)
+    number = w.try_cast("double")
     return (
-        F.when(t == "BOOLEAN", F.try_variant_get(x, "$", "boolean"))
+        F.when(t == "BOOLEAN", w == "true")
         .when(t == "STRING", F.when(word.isin(*TRUE_WORDS), True).when(word.isin(*FALSE_WORDS), False))
-        .otherwise(F.when(number == 1.0, True).when(number == 0.0, False))
+        .when(number == 1.0, True)
+        .when(number == 0.0, False)
     )
 
 
-def _coerced(n: _Node, x: Column, t: Column) -> Column:
+def _coerced(n: _Node, x: Column, t: Column, w: Column) -> Column:
     if isinstance(n.kind, Integer):
-        return _integer(x, t)
+        return _integer(t, w)
     if isinstance(n.kind, Number):
-        return _double(x, t)
+        return _double(x, t, w)
     if isinstance(n.kind, Boolean):
-        return _boolean(x, t)
-    text = _text_of(x, t)
+        return _boolean(t, w)
     if isinstance(n.kind, Choice) and (n.fold or n.kind.ignore_case):
-        text = F.lower(text)
-    return text
+        return F.lower(w)
+    return w
 
 
 def _scalar_code(n: _Node, value: Column) -> Column:
@@ -222,8 +237,14 @@ def _element_stage(kind: Kind, elements: Column) -> Column:
         get = s.getField
         return fields({**{k: get(k) for k in _raw_names(root)}, **_type_stage(root, get)})
 
+    def with_words(s: Column) -> Column:
+        get = s.getField
+        kept = [*_raw_names(root), *_type_stage(root, get)]
+        return fields({**{k: get(k) for k in kept}, **_word_stage(root, get)})
+
     typed = F.transform(raw, with_types)
-    coerced = F.transform(typed, lambda s: fields(_value_stage(root, s.getField)))
+    worded = F.transform(typed, with_words)
+    coerced = F.transform(worded, lambda s: fields(_value_stage(root, s.getField)))
     coded = F.transform(coerced, lambda s: fields({**_passed(root, s.getField), **_code_stage(root, s.getField)}))
     return F.transform(
         coded, lambda s: F.struct(_errors(root, s.getField).alias("errors"), _value(root, s.getField).alias("value"))
@@ -248,7 +269,7 @@ def _value_stage(root: _Node, get: Get) -> dict[str, Column]:
         elif isinstance(n.kind, Record):
             out[f"{n.key}_v"] = get(f"{n.key}_k")
         else:
-            out[f"{n.key}_v"] = _coerced(n, x, t)
+            out[f"{n.key}_v"] = _coerced(n, x, t, get(f"{n.key}_w"))
     return out
 
 
@@ -356,6 +377,7 @@ def validate(
 
     staged = add(df, _raw_stage(root, F.col(payload)))
     staged = add(staged, _type_stage(root, get))
+    staged = add(staged, _word_stage(root, get))
     staged = add(staged, _value_stage(root, get))
     staged = add(staged, _code_stage(root, get))
     staged = add(staged, {"errors": _errors(root, get)})

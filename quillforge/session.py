@@ -11,10 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Runtime-settable settings. Duplicate JSON keys must resolve to the last one
 # (as in Python's json module), timestamps are compared in UTC, and AQE handles
-# partition coalescing and skewed sort-merge joins.
+# partition coalescing and skewed sort-merge joins. Generated methods beyond 8000
+# bytes are never compiled by the JVM's JIT; wide schemas run faster in parts.
 RUNTIME_CONF = {
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -11,7 +11,7 @@ from quillforge.operators.audits import outcome_counts, success_and_failure
 from quillforge.operators.routing import VALID, extract_replies, to_quarantine, to_samples
 from quillforge.schema.samples import ENTITY, EVENT
 from quillforge.workloads.inputs import CHECKED_SQL, MEMBERS, PAYLOADS_SQL, REPLIES_SQL, documents, replies
-from quillforge.workloads.registry import query
+from quillforge.workloads.registry import query, spread
 
 
 def _routed(spark: SparkSession, folder: str) -> DataFrame:
@@ -171,7 +171,7 @@ def _entity_payloads(spark: SparkSession, folder: str) -> DataFrame:
     text = F.concat(
         F.lit('{"is_relevant":"Yes","entities":['), F.array_join(F.transform(lines, entity), ","), F.lit("]}")
     )
-    return documents(spark, folder).select("doc_id", P.strict_object(text).alias("payload"))
+    return spread(documents(spark, folder), "doc_id").select("doc_id", P.strict_object(text).alias("payload"))
 
 
 _ENTITIES_SQL = """lines AS (

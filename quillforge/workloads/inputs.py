@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillforge.workloads.registry import table
+from quillforge.workloads.registry import spread, table
 
 # --- documents -------------------------------------------------------------
 
@@ -72,7 +72,7 @@ def replies(spark: SparkSession, folder: str) -> DataFrame:
     )
     number = F.col("event_id").cast("string")
     reply = F.replace(F.replace(shape, F.lit("{b}"), body), F.lit("{n}"), number)
-    return table(spark, folder, "events").select("event_id", "event_type", reply.alias("reply"))
+    return spread(table(spark, folder, "events"), "event_id").select("event_id", "event_type", reply.alias("reply"))
 
 
 def _sql_text(text: str) -> str:

@@ -33,3 +33,12 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One of the given tables."""
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def spread(df: DataFrame, *key: str) -> DataFrame:
+    """Rows of a small table over all cores, for work that is heavy per row.
+
+    A table in at least as many splits as there are cores is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *key)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillforge.functions.chat import dump_json
-from quillforge.functions.markup import markup_to_text, resolve_references
+from quillforge.functions.markup import html_to_text, markup_to_text, resolve_references
 from quillforge.functions.tokens import token_count
 from quillforge.operators.inference import Completion
 from quillforge.plans.generate import batch_requests, batch_results, generate
@@ -30,7 +30,7 @@ from quillforge.sources.replies import read_batch_outputs
 from quillforge.sources.training import parse_training_examples, read_training_batches
 from quillforge.streaming.backfill import backfill_stream, read_document_stream
 from quillforge.workloads.inputs import documents
-from quillforge.workloads.registry import query, table
+from quillforge.workloads.registry import query, spread, table
 
 SYSTEM = "Count the characters."
 
@@ -122,10 +122,8 @@ def batch_job(spark: SparkSession, folder: str) -> DataFrame:
 )
 def page_text(spark: SparkSession, folder: str) -> DataFrame:
     """Plain text of every page, without its title."""
-    from quillforge.functions.markup import html_to_text
-
     text = resolve_references(html_to_text(F.col("html")))
-    return table(spark, folder, "pages").select("page_id", text.alias("text"))
+    return spread(table(spark, folder, "pages"), "page_id").select("page_id", text.alias("text"))
 
 
 @query("markup_lengths")
@@ -151,7 +149,7 @@ def word_tokenizer() -> Callable[[str], list]:
 )
 def tokenizer_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens of every document by a tokenizer library."""
-    return table(spark, folder, "documents").select("doc_id", token_count(F.col("text"), word_tokenizer).alias("n_tokens"))
+    return spread(table(spark, folder, "documents"), "doc_id").select("doc_id", token_count(F.col("text"), word_tokenizer).alias("n_tokens"))
 
 
 ARCHIVE_DOCUMENTS = 500
@@ -172,7 +170,7 @@ def write_archives(docs: DataFrame, folder: str) -> None:
                 tar.addfile(info, io.BytesIO(data))
         filesystem, location = open_location(f"{folder}/{name}")
         filesystem.create_dir(location.rsplit("/", 1)[0], recursive=True)
-        with filesystem.open_output_stream(location) as sink:
+        with filesystem.open_output_stream(location, compression=None) as sink:
             sink.write(buffer.getvalue())
         return pa.table({"name": [name]})
 
@@ -212,7 +210,7 @@ def publish_and_prepare(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder)
     bar = F.when(F.col("n_chars") % 3 == 0, F.lit("none")).otherwise(F.col("n_chars").cast("string"))
     example = F.struct("content", F.struct(F.col("source").alias("foo"), bar.alias("bar")).alias("output"))
-    examples = parse_training_examples(docs.select("batch_pos", "file_name", dump_json(example).alias("value")), TWO_FIELD)
+    examples = parse_training_examples(spread(docs, "doc_id").select("batch_pos", "file_name", dump_json(example).alias("value")), TWO_FIELD)
     when = datetime(2024, 1, 1)
     names = []
     for half, name in enumerate(("even", "odd")):

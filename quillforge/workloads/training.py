@@ -14,7 +14,7 @@ from quillforge.plans.prepare import check_training_lines, exclude_overlong, pre
 from quillforge.schema.samples import TWO_FIELD
 from quillforge.sinks.training import training_line
 from quillforge.workloads.inputs import documents
-from quillforge.workloads.registry import query, table
+from quillforge.workloads.registry import query, spread, table
 
 TOKEN_LIMIT = 1200
 CONVERSATION_LIMIT = 300
@@ -208,7 +208,7 @@ def training_lines(spark: SparkSession, folder: str) -> DataFrame:
     messages = chat.chat_sample(system, F.col("content"), payload)
     messages = F.when(kind == 8, F.slice(messages, 1, 2)).otherwise(messages)
     line = training_line(messages)
-    return documents(spark, folder).select(
+    return spread(documents(spark, folder), "doc_id").select(
         "batch_name",
         "batch_pos",
         F.col("doc_id").cast("string").alias("line_id"),
