@@ -68,6 +68,11 @@ def assign_record_id(df: DataFrame, order_by: Sequence[str] = DOCUMENT_ORDER, n:
     return numbered.withColumn("record_id", F.col("position").cast("string")).drop("position")
 
 
+def stable_record_id(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Add ``record_id`` from the columns that identify a row. Nothing is sorted or moved: the form for uncapped sets."""
+    return df.withColumn("record_id", F.md5(F.concat_ws("/", *[F.col(c).cast("string") for c in key])))
+
+
 def shuffle_key(seed: int | str, *key: Column) -> Column:
     """Pseudo-random sort key of a row, the same on every run."""
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *[k.cast("string") for k in key]))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quillforge.operators.dedupe import first_per_key, latest_per_key
 from quillforge.operators.inference import REALTIME_MAX_TOKENS, Completer, Retry, infer
-from quillforge.operators.ordering import DOCUMENT_ORDER, assign_record_id, take_first
+from quillforge.operators.ordering import DOCUMENT_ORDER, assign_record_id, stable_record_id, take_first
 from quillforge.operators.pairing import attach_responses
 from quillforge.operators.pending import pending
 from quillforge.operators.routing import extract_replies, key_columns
@@ -55,22 +55,28 @@ def generate(
 def batch_requests(
     docs: DataFrame, system: str | None, n: int | None = None, order_by: Sequence[str] = DOCUMENT_ORDER
 ) -> tuple[DataFrame, DataFrame]:
-    """Batch path, first half: documents with record ids, and their request lines."""
-    numbered = assign_record_id(docs, order_by, n)
+    """Batch path, first half: documents with record ids, and their request lines.
+
+    Record ids are positions if the set is capped, and else hashes of the
+    document's place, which need no global order. ``order_by`` identifies a document.
+    """
+    numbered = stable_record_id(docs, order_by) if n is None else assign_record_id(docs, order_by, n)
     return numbered, request_lines(numbered, system)
 
 
 def batch_results(
-    numbered: DataFrame, replies: DataFrame, schema: PayloadSchema, unique: bool = False
+    numbered: DataFrame,
+    replies: DataFrame,
+    schema: PayloadSchema,
+    unique: bool = False,
+    order_by: Sequence[str] = DOCUMENT_ORDER,
 ) -> DataFrame:
     """Batch path, second half: pair by record id, extract and validate.
 
-    With ``unique``, the last reply of every sample key counts.
+    With ``unique``, the last document, in order, of every sample key counts.
     """
     routed = extract_replies(attach_responses(numbered, replies), schema)
     if not unique:
         return routed
-    keyed = with_keys(routed, schema).withColumn("_order", F.col("record_id").try_cast("bigint"))
     # one row per key and outcome: a later failure does not erase an earlier sample
-    kept = latest_per_key(keyed, ["sample_key", "status"], ["_order", "record_id"])
-    return kept.drop("_order")
+    return latest_per_key(with_keys(routed, schema), ["sample_key", "status"], order_by)

@@ -27,11 +27,11 @@ def write_training_jsonl(samples: DataFrame, path: str, messages: str = "message
 
 def export_sample_set(samples: DataFrame, path: str) -> None:
     """Samples as JSON lines ``{content, output}`` with their names, next to the training file."""
-    samples.select(
-        F.to_json(
-            F.struct("output_key", "content", F.try_parse_json("raw_json").alias("output"))
-        ).alias("value")
-    ).write.mode("overwrite").option("compression", "gzip").text(path)
+    # The payload goes in as it stands; a line break in valid JSON is only ever space between tokens.
+    head = F.to_json(F.struct("output_key", "content"))
+    payload = F.translate("raw_json", "\r\n", "  ")
+    line = F.concat(F.substring(head, F.lit(1), F.length(head) - 1), F.lit(',"output":'), payload, F.lit("}"))
+    samples.select(line.alias("value")).write.mode("overwrite").option("compression", "gzip").text(path)
 
 
 def manifest_row(

@@ -22,12 +22,19 @@ def file_path() -> Column:
     return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
 
 
-def list_objects(spark: SparkSession, folder: str, pattern: str | None = None, recursive: bool = True) -> DataFrame:
-    """Complete listing below a folder: full path, key relative to the folder, size and time. Contents are not read."""
+def list_objects(
+    spark: SparkSession,
+    folder: str,
+    pattern: str | None = None,
+    recursive: bool = True,
+    paths: list[str] | None = None,
+) -> DataFrame:
+    """Complete listing below a folder (or only below some ``paths`` in it): full path, key relative to the
+    folder, size and time. Contents are not read."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if pattern is not None:
         reader = reader.option("pathGlobFilter", pattern)
-    listing = reader.load(folder).drop("content")
+    listing = reader.load(folder if paths is None else paths).drop("content")
     return listing.select("path", relative_key(F.col("path"), folder).alias("key"), "length", "modificationTime")
 
 

@@ -12,7 +12,7 @@ from quillforge.functions.validation import validate
 from quillforge.operators.audits import require_single_file
 from quillforge.schema.kinds import PayloadSchema
 from quillforge.schema.samples import TRAINING_EXAMPLE
-from quillforge.sources.objects import file_path, list_objects, relative_key
+from quillforge.sources.objects import file_path, list_objects, path_exists, relative_key
 
 
 def read_training_batches(spark: SparkSession, folder: str, names: Sequence[str]) -> DataFrame:
@@ -20,10 +20,14 @@ def read_training_batches(spark: SparkSession, folder: str, names: Sequence[str]
 
     Columns: batch_name, batch_pos (order of ``names``), line_id (unique), value.
     """
-    listing = list_objects(spark, folder, "*")
+    root = folder.rstrip("/")
+    # Only the named folders are listed, however many there are beside them.
+    present = [f"{root}/{name}" for name in dict.fromkeys(names) if path_exists(spark, f"{root}/{name}")]
+    if not present:
+        raise ValueError("none of the batches exists: " + ", ".join(names))
+    listing = list_objects(spark, folder, "*", paths=present)
     listing = listing.withColumn("batch_name", F.substring_index("key", "/", 1))
     files = require_single_file(listing, names)
-    root = folder.rstrip("/")
     lines = spark.read.text([f"{root}/{files[name]}" for name in files])
     batch = F.substring_index(relative_key(file_path(), folder), "/", 1)
     placed = lines.select(
