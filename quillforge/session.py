@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 # (as in Python's json module), timestamps are compared in UTC, and AQE handles
 # partition coalescing and skewed sort-merge joins. Generated methods beyond 8000
 # bytes are never compiled by the JVM's JIT; wide schemas run faster in parts.
+# Texts are long, so a batch for a Python worker holds fewer rows than usual.
 RUNTIME_CONF = {
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.session.timeZone": "UTC",
@@ -21,6 +22,7 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 

@@ -25,8 +25,8 @@ from quillforge.schema.samples import DOCUMENT
 BYTES_PER_TASK = 128 * 1024 * 1024
 FLUSH_BYTES = 16 * 1024 * 1024
 
-_MEMBER_SCHEMA = "path string, member string, member_pos long, raw string, error string"
-_INDEX_SCHEMA = "path string, member string, member_pos long, offset long, size long, error string"
+_MEMBER_SCHEMA = "batch_pos int, path string, member string, member_pos long, raw string, error string"
+_INDEX_SCHEMA = "batch_pos int, path string, member string, member_pos long, offset long, size long, error string"
 
 
 def open_location(path: str) -> tuple[pafs.FileSystem, str]:
@@ -67,8 +67,8 @@ class _Rows:
 
 
 def _member_rows() -> _Rows:
-    names = ["path", "member", "member_pos", "raw", "error"]
-    return _Rows(names, [pa.string(), pa.string(), pa.int64(), pa.string(), pa.string()])
+    names = ["batch_pos", "path", "member", "member_pos", "raw", "error"]
+    return _Rows(names, [pa.int32(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string()])
 
 
 def _per_path(make: Callable[[str], Iterator[tuple]], rows: Callable[[], _Rows]):
@@ -77,9 +77,9 @@ def _per_path(make: Callable[[str], Iterator[tuple]], rows: Callable[[], _Rows])
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = rows()
         for batch in batches:
-            for path in batch.column("path").to_pylist():
+            for batch_pos, path in zip(batch.column("batch_pos").to_pylist(), batch.column("path").to_pylist()):
                 for row in make(path):
-                    out.add(*row)
+                    out.add(batch_pos, *row)
                     if out.full:
                         yield out.take()
         yield out.take()
@@ -127,7 +127,7 @@ def _read_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     filesystem, location = open_location(path)
                     opened[path] = filesystem.open_input_file(location)
                 raw = opened[path].read_at(row["size"], row["offset"]).decode("utf-8", "replace")
-            out.add(path, row["member"], row["member_pos"], raw, row["error"])
+            out.add(row["batch_pos"], path, row["member"], row["member_pos"], raw, row["error"])
             if out.full:
                 yield out.take()
         for handle in opened.values():
@@ -140,7 +140,7 @@ def _tasks(n_files: int, n_bytes: int) -> int:
 
 
 def untar(archives: DataFrame) -> DataFrame:
-    """Document members of the archives in column ``path``: path, member, position, raw text; an unreadable archive gives an error row.
+    """Document members of the archives (path, length, batch_pos): their position and raw text; an unreadable archive gives an error row.
 
     ``length`` (file size) is used to size the work. The number of tasks is set
     explicitly: path rows are tiny and would otherwise be merged into one task.
@@ -153,15 +153,15 @@ def untar(archives: DataFrame) -> DataFrame:
     ).first()
     streams = (
         archives.filter(gz)
-        .select("path")
+        .select("batch_pos", "path")
         .repartition(_tasks(facts["n_gz"], 0))
         .mapInArrow(_per_path(_read_stream, _member_rows), _MEMBER_SCHEMA)
     )
-    index_names = ["path", "member", "member_pos", "offset", "size", "error"]
-    index_types = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
+    index_names = ["batch_pos", "path", "member", "member_pos", "offset", "size", "error"]
+    index_types = [pa.int32(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
     index = (
         archives.filter(~gz)
-        .select("path")
+        .select("batch_pos", "path")
         .repartition(_tasks(facts["n_tar"], 0))
         .mapInArrow(_per_path(_read_index, lambda: _Rows(index_names, index_types)), _INDEX_SCHEMA)
     )
@@ -169,22 +169,17 @@ def untar(archives: DataFrame) -> DataFrame:
     return streams.unionByName(ranges)
 
 
-def read_document_members(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Every document member of the archives, checked; the order of ``paths`` is the batch order.
+def document_members(archives: DataFrame) -> DataFrame:
+    """Every document member of the archives (columns path, length, batch_pos), checked.
 
     Columns: batch_name, batch_pos, file_name, member_pos, raw, content, source,
-    timestamp, errors, is_valid. Bad members and unreadable archives stay as
-    invalid rows.
+    timestamp, errors, archive_error, is_valid. Bad members and unreadable
+    archives stay as invalid rows.
     """
-    listing = spark.read.format("binaryFile").load(list(paths)).select("path", "length")
-    order = spark.createDataFrame([(p.rsplit("/", 1)[-1], i) for i, p in enumerate(paths)], "archive string, batch_pos int")
-    members = untar(listing.filter(is_archive(F.col("path"))))
-    # ``order`` has one row per path the caller passed in
-    named = members.withColumn("archive", base_name(F.col("path"))).join(F.broadcast(order), "archive")
-    parsed = named.withColumn("_object", strict_object(F.col("raw")))
+    parsed = untar(archives).withColumn("_object", strict_object(F.col("raw")))
     checked = validate(parsed, "_object", DOCUMENT)
     return checked.select(
-        batch_name(F.col("archive")).alias("batch_name"),
+        batch_name(base_name(F.col("path"))).alias("batch_name"),
         "batch_pos",
         base_name(F.col("member")).alias("file_name"),
         "member_pos",
@@ -198,8 +193,21 @@ def read_document_members(spark: SparkSession, paths: Sequence[str]) -> DataFram
     )
 
 
-def read_document_batches(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Valid documents of the archives; of members with the same base name in a batch the last one counts."""
-    members = read_document_members(spark, paths).filter("is_valid")
-    unique = latest_per_key(members, ["batch_name", "file_name"], ["member_pos"])
+def documents_of(members: DataFrame) -> DataFrame:
+    """Valid documents; of members with the same base name in a batch the last one counts."""
+    unique = latest_per_key(members.filter("is_valid"), ["batch_name", "file_name"], ["member_pos"])
     return unique.select("batch_name", "batch_pos", "file_name", "content", "source", "timestamp")
+
+
+def read_document_members(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Document members of the archives at ``paths``, whose order is the batch order."""
+    listing = spark.read.format("binaryFile").load(list(paths)).select("path", "length")
+    order = spark.createDataFrame([(p.rsplit("/", 1)[-1], i) for i, p in enumerate(paths)], "archive string, batch_pos int")
+    named = listing.filter(is_archive(F.col("path"))).withColumn("archive", base_name(F.col("path")))
+    # ``order`` has one row per path the caller passed in
+    return document_members(named.join(F.broadcast(order), "archive").select("path", "length", "batch_pos"))
+
+
+def read_document_batches(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Valid documents of the archives at ``paths``."""
+    return documents_of(read_document_members(spark, paths))

@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from quillforge.operators.dedupe import latest_per_key
 from quillforge.operators.inference import Completer
+from quillforge.operators.pending import pending
+from quillforge.operators.routing import to_quarantine, to_samples
 from quillforge.plans.generate import generate
 from quillforge.schema.kinds import PayloadSchema
-from quillforge.operators.routing import to_quarantine, to_samples
 from quillforge.sources.objects import path_exists
 
 DOCUMENT_COLUMNS = "batch_name string, batch_pos int, file_name string, content string, source string, timestamp string"
@@ -73,3 +75,12 @@ def backfill_stream(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def failed_documents(spark: SparkSession, sink: str) -> DataFrame:
+    """Quarantined documents that have no sample since, one per key: what a retry (``generate``) should take up."""
+    rejected = spark.read.parquet(f"{sink}/quarantine").select("sample_key", "source", "content", "batch_id")
+    latest = latest_per_key(rejected, ["sample_key"], ["batch_id"])
+    if path_exists(spark, f"{sink}/samples"):
+        latest = pending(latest, spark.read.parquet(f"{sink}/samples"))
+    return latest.select("source", "content")

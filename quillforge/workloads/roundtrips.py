@@ -24,7 +24,7 @@ from quillforge.operators.routing import VALID, to_samples
 from quillforge.schema.samples import TWO_FIELD
 from quillforge.session import stage_folder
 from quillforge.sinks.tables import write_batch_requests, write_quarantine, write_samples
-from quillforge.sources.archives import open_location, read_document_batches
+from quillforge.sources.archives import document_members, documents_of, open_location
 from quillforge.sources.objects import list_document_batches
 from quillforge.sources.replies import read_batch_outputs
 from quillforge.sources.training import parse_training_examples, read_training_batches
@@ -191,9 +191,8 @@ def archive_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
         raw.alias("raw"),
     )
     write_archives(packed, place)
-    # The caller names the batches it wants; here all that were written
-    paths = [r["path"] for r in list_document_batches(spark, place).select("path").collect()]
-    back = read_document_batches(spark, paths)
+    archives = list_document_batches(spark, place).withColumn("batch_pos", F.lit(0))
+    back = documents_of(document_members(archives))
     doc_id = F.regexp_extract("file_name", "([0-9]+)", 1).cast("bigint")
     return back.select(
         doc_id.alias("doc_id"), "source", F.md5("content").alias("content_key"), F.length("content").cast("bigint").alias("n_chars")
