@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from quillforge.llm.packing import pack_documents
+from quillforge.llm.warc import archive_pages
 from quillforge.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +33,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query()
+def op2_warc_bundles(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages written to seekable WARC bundles and read back."""
+    return archive_pages(table(spark, folder, "pages"))
+
+
 @query()
 def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Documents packed into sequences of 1024 tokens."""
