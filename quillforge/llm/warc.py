@@ -162,7 +162,7 @@ def write_bundles(pages: DataFrame, folder: str | None = None, frame_bytes: int
             for page_id, url, payload, refers_to, revisit in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if bundle is None:
                     name = f"part-{uuid.uuid4().hex}.warc.zst"
-                    bundle = BundleWriter(store.open_output_stream(f"{root}/{name}"), frame_bytes, level)
+                    bundle = BundleWriter(store.open_output_stream(f"{root}/{name}", compression=None), frame_bytes, level)
                 bundle.add(page_id, *render(page_id, url, payload, refers_to, revisit))
                 if bundle.written >= bundle_bytes:
                     bundle.close()
