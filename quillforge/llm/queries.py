@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from quillforge.llm.html import extract_main_text
 from quillforge.llm.packing import pack_documents
 from quillforge.llm.warc import archive_pages
 from quillforge.session import configure
@@ -39,6 +40,12 @@ def op2_warc_bundles(spark: SparkSession, folder: str) -> DataFrame:
     return archive_pages(table(spark, folder, "pages"))
 
 
+@query()
+def op4_html_consensus(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of the pages by the paths their hosts agree on."""
+    return extract_main_text(table(spark, folder, "pages"))
+
+
 @query()
 def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Documents packed into sequences of 1024 tokens."""
