@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quillforge.llm.html import extract_main_text
 from quillforge.llm.packing import pack_documents
+from quillforge.llm.quality import learn, score_quality
 from quillforge.llm.warc import archive_pages
 from quillforge.session import configure
 
@@ -34,6 +35,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query()
+def op1_compression_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality scores of the documents, learnt from the labels outside the held-out fold."""
+    docs = table(spark, folder, "documents")
+    return score_quality(docs, learn(docs, table(spark, folder, "labels")))
+
+
 @query()
 def op2_warc_bundles(spark: SparkSession, folder: str) -> DataFrame:
     """Pages written to seekable WARC bundles and read back."""
