@@ -28,8 +28,10 @@ from pyspark.sql import functions as F
 from quillforge.session import stage
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-#: Distinct words and pre-tokens that a worker remembers the ids of; then it starts again.
-REMEMBERED = 600_000
+#: Distinct words and pre-tokens that a worker remembers the ids of (some 0.4 GB); then it starts again.
+WORDS, PRE_TOKENS = 700_000, 1_300_000
+#: Characters of texts that are split at once.
+TOGETHER = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -141,7 +143,7 @@ class WordIds(dict):
 
     #: The classes of signs, and the pre-token pattern of the byte-level tokenizer over them.
     LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
-    PRE_TOKENS = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[0-9]+| ?[^\s{LETTERS}0-9]+|\s+(?!\S)|\s+"
+    PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[0-9]+| ?[^\s{LETTERS}0-9]+|\s+(?!\S)|\s+"
 
     def __init__(self, path: str):
         super().__init__()
@@ -152,7 +154,7 @@ class WordIds(dict):
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         unsure = [rf"[^ -~\n{self.LETTERS}]", "[ \n] ", " \n", r"\A ", r" \Z", *map(re.escape, added)]
         self.unsure = re.compile("|".join(unsure))
-        self.pre_tokens = re.compile(self.PRE_TOKENS).findall
+        self.pre_tokens = re.compile(self.PATTERN).findall
         self.pieces: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -162,27 +164,31 @@ class WordIds(dict):
     def learn(self, words: set[str]) -> None:
         """Remember the ids of words that are not known yet."""
         split = {w: self.pre_tokens(w) for w in words}
-        if len(self) + len(words) > REMEMBERED:
-            self.clear()
-        if len(self.pieces) > REMEMBERED:
+        if len(self.pieces) > PRE_TOKENS:
             self.pieces.clear()
-        new = list({p for parts in split.values() for p in parts} - self.pieces.keys())
+        new = list({p for parts in split.values() for p in parts if p not in self.pieces})
         self.pieces.update(zip(new, self.encode(new), strict=True))
         for word, parts in split.items():
             self[word] = b"".join(map(self.pieces.__getitem__, parts))
 
-    def ids(self, texts: list[str]) -> list[bytes]:
-        sure = {k: _words(t) for k, t in enumerate(texts) if t and not self.unsure.search(t)}
-        out: dict[int, bytes] = {}
-        for k, words in sure.items():
-            if missing := {w for w in words if w not in self}:
-                known = {w: self[w] for w in words if w in self} if len(self) + len(missing) > REMEMBERED else {}
-                self.learn(missing)
-                self.update(known)
-            out[k] = b"".join(map(self.__getitem__, words))
-        rest = [k for k in range(len(texts)) if k not in out]
-        out.update(zip(rest, self.encode([texts[k] for k in rest]), strict=True))
-        return [out[k] for k in range(len(texts))]
+    def ids(self, texts: list[str]) -> Iterator[bytes]:
+        """Ids of each text. Texts are taken together up to a number of characters, which bounds the memory."""
+        start = size = 0
+        for k, text in enumerate(texts):
+            size += len(text)
+            if size >= TOGETHER or k == len(texts) - 1:
+                yield from self._ids(texts[start : k + 1])
+                start, size = k + 1, 0
+
+    def _ids(self, texts: list[str]) -> Iterator[bytes]:
+        words = [_words(t) if t and not self.unsure.search(t) else None for t in texts]
+        needed = {w for own in words if own for w in own}
+        if len(self) > WORDS:
+            self.clear()
+        self.learn(needed - self.keys() if len(needed) > len(self) else {w for w in needed if w not in self})
+        whole = iter(self.encode([t for t, own in zip(texts, words, strict=True) if own is None]))
+        for own in words:
+            yield next(whole) if own is None else b"".join(map(self.__getitem__, own))
 
 
 def _words(text: str) -> list[str]:
