@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from quillforge.llm.decontaminate import contamination
 from quillforge.llm.html import extract_main_text
 from quillforge.llm.packing import pack_documents
 from quillforge.llm.quality import learn, score_quality
@@ -54,6 +55,30 @@ def op4_html_consensus(spark: SparkSession, folder: str) -> DataFrame:
     return extract_main_text(table(spark, folder, "pages"))
 
 
+ASCII = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+WORDS = "regexp_extract_all(" + ASCII + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+CONTAMINATION_SQL = f"""
+WITH i AS (SELECT item_id, {WORDS.format("text")} AS w FROM benchmark WHERE text IS NOT NULL),
+win AS (SELECT DISTINCT item_id, w[s:s + 12] AS q, len(w[s:s + 12]) AS l
+        FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS s FROM i WHERE len(w) > 0)),
+d AS (SELECT doc_id, coalesce({WORDS.format("text")}, []) AS w FROM documents),
+p AS (SELECT doc_id, l, s, w[s:s + l - 1] AS q FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS s FROM d), (SELECT DISTINCT l FROM win)),
+h AS (SELECT DISTINCT p.doc_id, win.item_id, s, p.l FROM p JOIN win ON p.q = win.q AND p.l = win.l),
+c AS (SELECT doc_id, count(DISTINCT x) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + l)) AS x FROM h) GROUP BY doc_id),
+n AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM h GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
+
+
+@query(CONTAMINATION_SQL)
+def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of the documents that occur in benchmark windows of 13 words."""
+    found = contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.drop("near_items", "key")
+
+
 @query()
 def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Documents packed into sequences of 1024 tokens."""
