@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from quillforge.session import stage
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-#: Distinct words and pre-tokens that a worker remembers the ids of (some 0.4 GB); then it starts again.
-WORDS, PRE_TOKENS = 700_000, 1_300_000
+#: Distinct words and pre-tokens that a worker remembers the ids of (some 0.25 GB); then it starts again.
+WORDS, PRE_TOKENS = 400_000, 700_000
 #: Characters of texts that are split at once.
 TOGETHER = 1 << 20
 
@@ -151,9 +151,14 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        # Fixed rule of byte-level vocabularies: printable signs of Latin-1 stand for their bytes, the other bytes for signs from 256 on.
+        others = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255)]
+        self.byte_signs = {b: 256 + k for k, b in enumerate(others)}
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        unsure = [rf"[^ -~\n{self.LETTERS}]", "[ \n] ", " \n", r"\A ", r" \Z", *map(re.escape, added)]
-        self.unsure = re.compile("|".join(unsure))
+        signs = rf"[!-~{self.LETTERS}]"
+        never = "".join(rf"(?!.*{re.escape(a)})" for a in added)
+        self.sure = re.compile(rf"(?s:{never}){signs}(?:(?:{signs}|\n)*{signs})?").fullmatch
         self.pre_tokens = re.compile(self.PATTERN).findall
         self.pieces: dict[str, bytes] = {}
 
@@ -161,15 +166,19 @@ class WordIds(dict):
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
-    def learn(self, words: set[str]) -> None:
-        """Remember the ids of words that are not known yet."""
-        split = {w: self.pre_tokens(w) for w in words}
-        if len(self.pieces) > PRE_TOKENS:
-            self.pieces.clear()
-        new = list({p for parts in split.values() for p in parts if p not in self.pieces})
-        self.pieces.update(zip(new, self.encode(new), strict=True))
-        for word, parts in split.items():
-            self[word] = b"".join(map(self.pieces.__getitem__, parts))
+    def encode_pre_token(self, piece: str) -> bytes:
+        """A known pre-token needs no splitting, so the model sees it at once, in the signs that stand for bytes."""
+        mapped = piece.encode().decode("latin-1").translate(self.byte_signs)
+        return np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
+
+    def word(self, word: str) -> bytes | None:
+        """Ids of a word, from its space on; None if its place in the text could change them."""
+        if not self.sure(word.removeprefix(" ")):
+            return None
+        for p in (parts := self.pre_tokens(word)):
+            if p not in self.pieces:
+                self.pieces[p] = self.encode_pre_token(p)
+        return b"".join([self.pieces[p] for p in parts])
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
         """Ids of each text. Texts are taken together up to a number of characters, which bounds the memory."""
@@ -181,19 +190,19 @@ class WordIds(dict):
                 start, size = k + 1, 0
 
     def _ids(self, texts: list[str]) -> Iterator[bytes]:
-        words = [_words(t) if t and not self.unsure.search(t) else None for t in texts]
-        needed = {w for own in words if own for w in own}
         if len(self) > WORDS:
             self.clear()
-        self.learn(needed - self.keys() if len(needed) > len(self) else {w for w in needed if w not in self})
-        whole = iter(self.encode([t for t, own in zip(texts, words, strict=True) if own is None]))
-        for own in words:
-            yield next(whole) if own is None else b"".join(map(self.__getitem__, own))
-
-
-def _words(text: str) -> list[str]:
-    first, *rest = text.split(" ")
-    return [first, *[f" {w}" for w in rest]]
+        if len(self.pieces) > PRE_TOKENS:
+            self.pieces.clear()
+        split = [t.split(" ") for t in texts]
+        firsts = [own.pop(0) for own in split]
+        # Keys are the words behind a space, without it.
+        for w in set().union(*split):
+            if w not in self:
+                self[w] = self.word(f" {w}")
+        for text, first, own in zip(texts, firsts, split, strict=True):
+            parts = [self.word(first), *map(self.__getitem__, own)]
+            yield self.encode([text])[0] if None in parts else b"".join(parts)
 
 
 def word_ids(path: str) -> WordIds:
