@@ -11,6 +11,7 @@ from quillforge.llm.decontaminate import contamination
 from quillforge.llm.html import extract_main_text
 from quillforge.llm.packing import pack_documents
 from quillforge.llm.quality import learn, score_quality
+from quillforge.llm.tokens import count_tokens
 from quillforge.llm.warc import archive_pages
 from quillforge.session import configure
 
@@ -79,6 +80,12 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return found.drop("near_items", "key")
 
 
+@query()
+def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of the documents by a unigram vocabulary."""
+    return count_tokens(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query()
 def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Documents packed into sequences of 1024 tokens."""
