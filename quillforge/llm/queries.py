@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from quillforge.llm.bitsliced import search
 from quillforge.llm.decontaminate import contamination
 from quillforge.llm.html import extract_main_text
 from quillforge.llm.packing import pack_documents
@@ -56,6 +57,20 @@ def op4_html_consensus(spark: SparkSession, folder: str) -> DataFrame:
     return extract_main_text(table(spark, folder, "pages"))
 
 
+@query(
+    """
+    WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings),
+    s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+          FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id)
+    SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+    FROM s QUALIFY rank <= 20
+    """
+)
+def op5_bit_sliced_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest vectors by integer inner product, for every twentieth vector."""
+    return search(table(spark, folder, "embeddings"))
+
+
 ASCII = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WORDS = "regexp_extract_all(" + ASCII + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 CONTAMINATION_SQL = f"""
