@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from quillforge.llm.bitsliced import search
 from quillforge.llm.decontaminate import contamination
 from quillforge.llm.html import extract_main_text
+from quillforge.llm.neardup import similarity_join
 from quillforge.llm.packing import pack_documents
 from quillforge.llm.quality import learn, score_quality
 from quillforge.llm.tokens import count_tokens
@@ -71,6 +72,12 @@ def op5_bit_sliced_topk(spark: SparkSession, folder: str) -> DataFrame:
     return search(table(spark, folder, "embeddings"))
 
 
+@query()
+def op7_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Near copies among the documents: class and number of links of each."""
+    return similarity_join(table(spark, folder, "documents")).drop("text_hash")
+
+
 ASCII = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WORDS = "regexp_extract_all(" + ASCII + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 CONTAMINATION_SQL = f"""
