@@ -132,3 +132,10 @@ def contamination(docs: DataFrame, items: DataFrame, n: int = 13, share: int = 2
         "near_items",
         "key",
     )
+
+
+def uncontaminated(docs: DataFrame, items: DataFrame, n: int = 13, share: int = 20) -> DataFrame:
+    """``docs``, with all its columns, without the contaminated documents."""
+    found = stage(contamination(docs, items, n, share).where("contaminated").select(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).distinct())
+    on = [F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), F.xxhash64(F.col("text").cast("string")) == F.col("_key")]
+    return docs.join(found, on, "left_anti")

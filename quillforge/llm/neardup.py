@@ -206,7 +206,7 @@ def similarity_join(docs: DataFrame, join: Join = Join()) -> DataFrame:
     Words are runs of signs other than white space, unchanged; similarity is that of the sets of ``words``
     consecutive words, of which a shorter text with words has one. One row per row: doc_id, class_id (smallest
     doc_id of the documents that links connect), n_links (other rows that reach the threshold with this one),
-    copy_of (smallest doc_id with the same shingles), n_copies, and text_hash. A text without words, null too,
+    copy_of (smallest doc_id with the same shingles), n_copies, text_hash, and kept (this is the class's row). A text without words, null too,
     links to nothing and is its own class. Repeated rows are copies of each other.
     """
     rows = stage(describe(docs, join))
@@ -224,16 +224,39 @@ def similarity_join(docs: DataFrame, join: Join = Join()) -> DataFrame:
     found = stage(links_of_blocks(pairs, join))
     links = found.groupBy("cls").agg(F.sum("links").alias("links"))
     groups = connected(found.select(F.col("cls").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "cls")
-    groups = groups.join(classes.select("cls", "rep"), "cls")
-    smallest = groups.groupBy("root").agg(F.min("rep").alias("class_id"))
-    linked = groups.join(smallest, "root").join(links, "cls").select("cls", "class_id", "links")
-    of_class = stage(classes.select("cls", "rep", "n").join(linked, "cls", "left"))
+    groups = groups.join(classes.select("cls", F.struct("rep", "rep_hash").alias("rep")), "cls")
+    smallest = groups.groupBy("root").agg(F.min("rep").alias("kept"))
+    linked = groups.join(smallest, "root").join(links, "cls").select("cls", "kept", "links")
+    of_class = classes.select("cls", "rep", "n", F.struct("rep", "rep_hash").alias("own")).join(linked, "cls", "left")
+    of_class = stage(of_class.select("cls", "rep", "n", F.coalesce("kept", "own").alias("kept"), "links"))
     joined = rows.select("doc_id", "text_hash", "cls").join(of_class, "cls", "left")
+    kept = F.col("doc_id").eqNullSafe(F.col("kept.rep")) & (F.col("text_hash") == F.col("kept.rep_hash"))
     return joined.select(
         "doc_id",
-        F.coalesce("class_id", "rep", "doc_id").alias("class_id"),
+        F.coalesce("kept.rep", "doc_id").alias("class_id"),
         (F.coalesce("links", F.lit(0)) + F.coalesce("n", F.lit(1)) - 1).cast("long").alias("n_links"),
         F.coalesce("rep", "doc_id").alias("copy_of"),
         F.coalesce("n", F.lit(1)).cast("long").alias("n_copies"),
         "text_hash",
+        (F.col("cls").isNull() | kept).alias("kept"),
     )
+
+
+def without(docs: DataFrame, keys: DataFrame, how: str = "left_anti") -> DataFrame:
+    """The rows of ``docs`` whose doc_id and text are not among ``keys`` (doc_id, text_hash), or that are (left_semi)."""
+    keys = keys.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    on = [F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), F.xxhash64(F.col("text").cast("string")) == F.col("_hash")]
+    return docs.join(keys, on, how)
+
+
+def one_of_each(docs: DataFrame, join: Join = Join()) -> DataFrame:
+    """``docs``, with all its columns, of each class the row with the smallest doc_id. Texts without words all stay."""
+    found = stage(similarity_join(docs, join))
+    left = without(docs, stage(found.where("not kept").select("doc_id", "text_hash").distinct()))
+    repeated = found.where("kept and n_copies > 1").groupBy("doc_id", "text_hash").agg(F.count("*").alias("n")).where("n > 1")
+    repeated = stage(repeated.select("doc_id", "text_hash"))
+    if repeated.isEmpty():
+        return left
+    # Rows with one id and one text: any of them is the one.
+    again = without(left, repeated, "left_semi").withColumn("_hash", F.xxhash64(F.col("text").cast("string")))
+    return without(left, repeated).unionByName(again.dropDuplicates(["doc_id", "_hash"]).drop("_hash"))

@@ -13,6 +13,7 @@ from quillforge.llm.html import extract_main_text
 from quillforge.llm.neardup import similarity_join
 from quillforge.llm.packing import pack_documents
 from quillforge.llm.quality import learn, score_quality
+from quillforge.llm.substring import deduplicated
 from quillforge.llm.tokens import count_tokens
 from quillforge.llm.warc import archive_pages
 from quillforge.session import configure
@@ -52,6 +53,24 @@ def op2_warc_bundles(spark: SparkSession, folder: str) -> DataFrame:
     return archive_pages(table(spark, folder, "pages"))
 
 
+@query(
+    r"""
+    WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+    s AS (SELECT doc_id, s, md5(array_to_string(w[s:s + 49], ' ')) AS h FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS s FROM d WHERE len(w) >= 50)),
+    f AS (SELECT h, min(doc_id) AS f FROM s GROUP BY h),
+    x AS (SELECT DISTINCT doc_id, unnest(range(s, s + 50)) AS p FROM s JOIN f USING (h) WHERE doc_id > f),
+    r AS (SELECT doc_id, list(p) AS p, count(*) AS n FROM x GROUP BY doc_id)
+    SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_removed,
+           sha256(CASE WHEN n IS NULL THEN array_to_string(w, ' ')
+                  ELSE array_to_string(list_filter(w, lambda v, i: NOT list_contains(p, i)), ' ') END) AS kept_sha256
+    FROM d LEFT JOIN r USING (doc_id)
+    """
+)
+def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of the documents that are left without passages of smaller documents."""
+    return deduplicated(table(spark, folder, "documents"))
+
+
 @query()
 def op4_html_consensus(spark: SparkSession, folder: str) -> DataFrame:
     """Main text of the pages by the paths their hosts agree on."""
