@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from quillforge.llm import pseudolikelihood
 from quillforge.llm.bitsliced import search
 from quillforge.llm.decontaminate import contamination
 from quillforge.llm.html import extract_main_text
@@ -91,6 +92,13 @@ def op5_bit_sliced_topk(spark: SparkSession, folder: str) -> DataFrame:
     return search(table(spark, folder, "embeddings"))
 
 
+@query()
+def op6_masked_pseudo_likelihood(spark: SparkSession, folder: str) -> DataFrame:
+    """Log-probability of the documents' words, each from its neighbours on both sides."""
+    docs = table(spark, folder, "documents")
+    return pseudolikelihood.score(docs, pseudolikelihood.learn(docs))
+
+
 @query()
 def op7_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """Near copies among the documents: class and number of links of each."""
