@@ -17,8 +17,10 @@ from pyspark.sql import types as T
 
 _FENCE = r"(?m)^(`{3,}|~{3,})[^\n`]*\n([\s\S]*?)^\1[ \t]*$"
 _FIRST_H1 = r"(?is)\A(.*?)<h1\b[^>]*>.*?</h1\s*>"
-_HIDDEN = r"(?is)<!--.*?-->|<(script|style|template)\b[^>]*>.*?</\1\s*>"
-_TAG = r"(?s)<[/!?]?[A-Za-z][^<>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^<>\"']*)*>"
+# What is not closed is hidden to the end, so that no second search for a missing end begins. Possessive, so
+# that a tag with very many attributes is matched in a loop, not by recursion.
+_HIDDEN = r"(?is)<!--(?:.*?-->|.*+\z)|<(script|style|template)\b[^>]*+>(?:.*?</\1\s*+>|.*+\z)"
+_TAG = r"(?s)<[/!?]?[A-Za-z][^<>\"']*+(?:(?:\"[^\"]*+\"|'[^']*+')[^<>\"']*+)*+>"
 
 
 def markdown_to_html(text: Column) -> Column:

@@ -16,6 +16,10 @@ from quillforge.functions.text import let, strip_ws
 OPEN_TAG = "<output>"
 CLOSE_TAG = "</output>"
 
+# Texts beyond this can be more than one VARIANT holds; such a text is told from one that is no JSON.
+PARSED_BYTES = 16 * 1024 * 1024
+TOO_LARGE = "too_large"
+
 _OBJECT_START = r"^[ \t\n\r]*\{"
 _EMPTY_OBJECT = r"^[ \t\n\r]*\{[ \t\n\r]*\}[ \t\n\r]*\z"
 
@@ -85,6 +89,11 @@ def strict_object(text: Column) -> Column:
     return let(text, lambda t: F.when(t.rlike(_OBJECT_START), checked(t)))
 
 
+def beyond_parser(text: Column) -> Column:
+    """Whether a text that looks like an object may be too large for :func:`strict_object`."""
+    return (F.octet_length(text) > PARSED_BYTES) & text.rlike(_OBJECT_START)
+
+
 def payload(reply: Column, accepts_empty: bool = False) -> Column:
     """``struct(text, object)`` of the JSON object a reply carries, or null.
 

@@ -28,9 +28,9 @@ def _fill(template: str, values: Mapping[str, str]) -> str:
     return template
 
 
-def datagen_prompt(schema: PayloadSchema) -> str:
+def generation_prompt(schema: PayloadSchema) -> str:
     """Prompt for making training data: schema and example filled in."""
-    return _fill(schema.datagen_template, {"SCHEMA": schema.describe(), "EXAMPLE": schema.example_json()})
+    return _fill(schema.generation_template, {"SCHEMA": schema.describe(), "EXAMPLE": schema.example_json()})
 
 
 def main_prompt(schema: PayloadSchema) -> str:

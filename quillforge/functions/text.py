@@ -131,7 +131,7 @@ def job_name(ts: Column, description: Column) -> Column:
     return _trim_dashes(F.concat(F.date_format(ts, "yyyyMMdd-HHmmss"), F.lit("-"), slug(description)))
 
 
-def batch_job_id(ts: Column, folder: str = "datagen") -> Column:
+def batch_job_id(ts: Column, folder: str = "generation") -> Column:
     """Identifier of a batch-inference job: ``<folder>/YYYY-mm-dd-HHMM``."""
     return F.concat(F.lit(f"{folder}/"), F.date_format(ts, "yyyy-MM-dd-HHmm"))
 

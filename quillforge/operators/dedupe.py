@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,11 +13,14 @@ from pyspark.sql import functions as F
 def _pick(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], pick) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
     row = pick(F.struct(*rest), F.struct(*order_by)).alias("_row")
-    return df.groupBy(*keys).agg(row).select(*keys, "_row.*").select(*df.columns)
+    # A null key equals no other: such rows are groups of their own.
+    unknown = reduce(or_, [F.col(k).isNull() for k in keys])
+    numbered = df.withColumn("_own", F.when(unknown, F.monotonically_increasing_id()))
+    return numbered.groupBy(*keys, "_own").agg(row).select(*keys, "_row.*").select(*df.columns)
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """The earliest row of every key.
+    """The earliest row of every key; rows whose key has a null all stay.
 
     An aggregate rather than a window: each task first reduces its own copies
     to one, so a key that holds a large share of the rows is no burden.
@@ -24,5 +29,5 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """The last row of every key."""
+    """The last row of every key; rows whose key has a null all stay."""
     return _pick(df, keys, order_by, F.max_by)

@@ -103,6 +103,8 @@ def infer(
             tried += 1
             return completer(request)
 
+        if text is None:
+            return None, 0, "no content"
         try:
             reply, _ = policy.call(counted, Completion(system, text, max_tokens, temperature))
             return reply, tried, None if reply is not None else "no reply"

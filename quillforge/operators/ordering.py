@@ -11,10 +11,6 @@ from quillforge.session import stage
 
 DOCUMENT_ORDER = ("batch_pos", "file_name")
 
-# Up to this many keys a cap is taken with a top-n over the key columns alone;
-# the keys then travel as a broadcast of at most this many short rows.
-TOP_N_LIMIT = 100_000
-
 _ROW_BITS = (1 << 33) - 1
 
 
@@ -23,12 +19,13 @@ def document_order(df: DataFrame, order_by: Sequence[str] = DOCUMENT_ORDER) -> D
     return df.orderBy(*order_by)
 
 
-def with_positions(df: DataFrame, order_by: Sequence[str] = DOCUMENT_ORDER, name: str = "position") -> DataFrame:
-    """Add the 0-based global position of every row; ``order_by`` must identify a row.
+def key_positions(df: DataFrame, order_by: Sequence[str], name: str) -> DataFrame:
+    """The key columns of every row with its 0-based global position; null keys come first.
 
-    Only the key columns are range-partitioned and sorted. A row's position is
-    its index in its partition plus the sizes of the partitions before, so no
-    task ever holds more than one partition.
+    Only the keys are range-partitioned and sorted. A row's position is its index
+    in its partition plus the sizes of the partitions before, so no task ever holds
+    more than one partition. Keys that do not identify a row raise an error: which
+    of two equal rows comes first would be chance.
     """
     keys = stage(
         df.select(*order_by)
@@ -37,29 +34,38 @@ def with_positions(df: DataFrame, order_by: Sequence[str] = DOCUMENT_ORDER, name
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_row", F.monotonically_increasing_id().bitwiseAND(_ROW_BITS))
     )
+    repeated = keys.groupBy(*order_by).agg(F.count("*").alias("_n")).filter("_n > 1").drop("_n").head(1)
+    if repeated:
+        raise ValueError(f"{', '.join(order_by)} must identify a row; repeated: {tuple(repeated[0])}")
     # One row per partition, so the global window and the broadcast are small.
     sizes = keys.groupBy("_part").agg(F.count("*").alias("_size"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-    positions = keys.join(F.broadcast(offsets), "_part").select(
-        *order_by, (F.col("_offset") + F.col("_row")).alias(name)
-    )
-    return df.join(positions, list(order_by))
+    position = (F.col("_offset") + F.col("_row")).alias(name)
+    return keys.join(F.broadcast(offsets), "_part").select(*order_by, position)
+
+
+def _with_keys(df: DataFrame, positions: DataFrame, order_by: Sequence[str], name: str) -> DataFrame:
+    """``df`` with its rows' positions; nulls are equal. How the keys travel is left to their size."""
+    renamed = positions.select(*[F.col(c).alias(f"_key_{c}") for c in order_by], name)
+    on = [df[c].eqNullSafe(renamed[f"_key_{c}"]) for c in order_by]
+    return df.join(renamed, on).select(*[df[c] for c in df.columns], name)
+
+
+def with_positions(df: DataFrame, order_by: Sequence[str] = DOCUMENT_ORDER, name: str = "position") -> DataFrame:
+    """Add the 0-based global position of every row; ``order_by`` must identify a row."""
+    return _with_keys(df, key_positions(df, order_by, name), order_by, name)
 
 
 def take_first(df: DataFrame, n: int, order_by: Sequence[str] = DOCUMENT_ORDER, name: str = "position") -> DataFrame:
     """First ``n`` rows in order (all, if there are fewer), each with its 0-based position.
 
-    The content columns take no part in the selection; they are read only for
-    the chosen rows.
+    The content columns take no part in the selection, whatever ``n`` is; they are
+    joined to the chosen keys.
     """
     if n < 0:
         raise ValueError("n must not be negative")
-    if n > TOP_N_LIMIT:
-        return with_positions(df, order_by, name).filter(F.col(name) < n)
-    first = df.select(*order_by).orderBy(*order_by).limit(n)
-    numbered = first.withColumn(name, F.row_number().over(Window.orderBy(*order_by)).cast("bigint") - 1)
-    return df.join(F.broadcast(numbered), list(order_by))
+    return _with_keys(df, key_positions(df, order_by, name).filter(F.col(name) < n), order_by, name)
 
 
 def assign_record_id(df: DataFrame, order_by: Sequence[str] = DOCUMENT_ORDER, n: int | None = None) -> DataFrame:
@@ -70,7 +76,10 @@ def assign_record_id(df: DataFrame, order_by: Sequence[str] = DOCUMENT_ORDER, n:
 
 def stable_record_id(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Add ``record_id`` from the columns that identify a row. Nothing is sorted or moved: the form for uncapped sets."""
-    return df.withColumn("record_id", F.md5(F.concat_ws("/", *[F.col(c).cast("string") for c in key])))
+    parts = [F.col(c).cast("string") for c in key]
+    # Lengths keep the parts apart; a null is none of the texts.
+    spelled = [F.coalesce(F.concat(F.length(p).cast("string"), F.lit(":"), p), F.lit("-")) for p in parts]
+    return df.withColumn("record_id", F.md5(F.concat_ws("/", *spelled)))
 
 
 def shuffle_key(seed: int | str, *key: Column) -> Column:

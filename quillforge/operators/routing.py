@@ -12,6 +12,8 @@ from quillforge.functions.validation import validate
 from quillforge.schema.kinds import PayloadSchema
 
 VALID, SCHEMA_INVALID, NO_JSON, ERROR = "valid", "schema_invalid", "no_json", "error"
+# Outcomes of a batch job that never reach extraction.
+UNANSWERED, BAD_REPLY, ORPHAN = "unanswered", "bad_reply", "orphan"
 
 
 def extract_replies(df: DataFrame, schema: PayloadSchema, reply: str = "reply") -> DataFrame:

@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 from quillforge.operators.dedupe import first_per_key, latest_per_key
 from quillforge.operators.inference import REALTIME_MAX_TOKENS, Completer, Retry, infer
 from quillforge.operators.ordering import DOCUMENT_ORDER, assign_record_id, stable_record_id, take_first
-from quillforge.operators.pairing import attach_responses
 from quillforge.operators.pending import pending
-from quillforge.operators.routing import extract_replies, key_columns
+from quillforge.operators.routing import BAD_REPLY, ORPHAN, UNANSWERED, extract_replies, key_columns
 from quillforge.schema.kinds import PayloadSchema
 from quillforge.session import stage
 from quillforge.sinks.tables import request_lines
@@ -46,10 +45,12 @@ def generate(
     chosen = docs if n is None else take_first(docs, n, order_by).drop("position")
     unique = first_per_key(with_keys(chosen, schema), ["sample_key"], order_by)
     todo = unique if outputs is None else pending(unique, outputs)
+    # Without a source or content there is no sample to make: such rows go on, unasked, to the quarantine.
+    todo = todo.withColumn("_asked", F.when(F.col("sample_key").isNotNull(), F.col("content")))
     answered = infer(
-        todo, make_completer, system, max_tokens=max_tokens, retry=retry, partitions=partitions, threads=threads
+        todo, make_completer, system, content="_asked", max_tokens=max_tokens, retry=retry, partitions=partitions, threads=threads
     )
-    return extract_replies(stage(answered), schema)
+    return extract_replies(stage(answered.drop("_asked")), schema)
 
 
 def batch_requests(
@@ -73,9 +74,20 @@ def batch_results(
 ) -> DataFrame:
     """Batch path, second half: pair by record id, extract and validate.
 
-    With ``unique``, the last document, in order, of every sample key counts.
+    Nothing is lost on the way. ``replies`` has record_id and reply, and is_valid if broken records are among
+    them; beside the outcomes of extraction, status is ``unanswered`` for a document without a reply,
+    ``bad_reply`` for one with a broken record, and ``orphan`` for a reply without a document.
+    With ``unique``, the last document, in order, of every sample key and status counts.
     """
-    routed = extract_replies(attach_responses(numbered, replies), schema)
+    marked = replies if "is_valid" in replies.columns else replies.withColumn("is_valid", F.lit(True))
+    left = numbered.withColumn("_is_document", F.lit(True))
+    right = marked.select("record_id", "reply", F.coalesce("is_valid", F.lit(False)).alias("_is_reply"))
+    paired = left.join(right, "record_id", "full")
+    outcome = (
+        F.when(F.col("_is_document").isNull(), ORPHAN).when(F.col("_is_reply").isNull(), UNANSWERED).when(~F.col("_is_reply"), BAD_REPLY)
+    )
+    routed = extract_replies(paired.withColumn("_outcome", outcome), schema)
+    routed = routed.withColumn("status", F.coalesce("_outcome", "status")).drop("_outcome", "_is_document", "_is_reply")
     if not unique:
         return routed
     # one row per key and outcome: a later failure does not erase an earlier sample

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillforge.functions.chat import has_chat_shape, message_content, render_chat, same_prompt
-from quillforge.functions.payload import strict_object, strip_tags
+from quillforge.functions.payload import TOO_LARGE, beyond_parser, strict_object, strip_tags
 from quillforge.functions.text import fence
 from quillforge.functions.tokens import TokenizerFactory, token_count
 from quillforge.functions.validation import validate
@@ -46,7 +47,8 @@ def check_training_lines(lines: DataFrame, schema: PayloadSchema, system_prompt:
         parsed.withColumn("_answer", strict_object(answer)), "_answer", schema.root, errors="payload_errors", is_valid="_is_payload"
     )
     reason = (
-        F.when(~F.col("_is_sample"), BAD_LINE)
+        F.when(~F.col("_is_sample") & F.col("_line").isNull() & beyond_parser(F.col(line)), TOO_LARGE)
+        .when(~F.col("_is_sample"), BAD_LINE)
         .when(~has_chat_shape(F.col("messages")), SHORT)
         .when(~same_prompt(message_content(F.col("messages"), 0), system_prompt), PROMPT)
         .when(F.col("_answer").isNull(), BAD_PAYLOAD)
@@ -57,9 +59,11 @@ def check_training_lines(lines: DataFrame, schema: PayloadSchema, system_prompt:
     )
 
 
-def with_token_counts(checked: DataFrame, tokenizer: TokenizerFactory | None = None) -> DataFrame:
-    """Add ``n_tokens`` of the rendered chat; rejected lines are not tokenised."""
-    text = F.when(F.col("reject_reason").isNull(), render_chat(F.col("messages")))
+def with_token_counts(
+    checked: DataFrame, tokenizer: TokenizerFactory | None = None, render: Callable[[Column], Column] = render_chat
+) -> DataFrame:
+    """Add ``n_tokens`` of the chat as ``render`` writes it (messages to text); rejected lines are not tokenised."""
+    text = F.when(F.col("reject_reason").isNull(), render(F.col("messages")))
     counted = checked.withColumn("_n", token_count(text, tokenizer))
     return fence(counted, {"n_tokens": F.col("_n")}).drop("_n")
 
@@ -96,24 +100,28 @@ def prepare_training_data(
     tokenizer: TokenizerFactory | None = None,
     shuffle: bool = True,
     seed: int | str = 0,
+    render: Callable[[Column], Column] = render_chat,
 ) -> Prepared:
     """Check lines, leave out overlong samples, fix the order.
 
-    ``lines`` has batch_name, batch_pos, line_id and value. Lengths are checked
-    only if both ``base_model`` and ``max_seq_length`` are given. One pass parses,
+    ``lines`` has batch_name, batch_pos, line_id and value, and line_at if their
+    order in the files counts. Lengths are checked only if both ``base_model`` and
+    ``max_seq_length`` are given, on what ``render`` makes of the messages: the
+    chat template of the model. One pass parses,
     validates and counts tokens, and writes a stage table; the counts and the
     final sort read that.
     """
     limit = bool(base_model) and bool(max_seq_length)
     checked = check_training_lines(lines, schema, system_prompt)
     usable = F.col("reject_reason").isNull()
-    measured = with_token_counts(checked, tokenizer) if limit else checked.withColumn("n_tokens", F.lit(None).cast("bigint"))
+    measured = with_token_counts(checked, tokenizer, render) if limit else checked.withColumn("n_tokens", F.lit(None).cast("bigint"))
     fits = (usable & (F.col("n_tokens") < max_seq_length)) if limit else usable
-    # The order key is unique per line: copies of a sample end up far apart, in different tasks.
+    # The order comes from the line alone, so every run has the same; equal lines, which may change places, share a rank.
+    place = F.col("line_at" if "line_at" in lines.columns else "line_id")
     rank = (
         shuffle_key(seed, F.col("line_id"))
         if shuffle
-        else F.concat_ws("-", F.lpad(F.col("batch_pos").cast("string"), 10, "0"), F.col("line_id"))
+        else F.concat_ws("-", F.lpad(F.col("batch_pos").cast("string"), 10, "0"), place)
     )
     staged = stage(
         measured.select(

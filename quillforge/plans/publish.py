@@ -58,10 +58,10 @@ def publish_batch(
     now = now or datetime.now()
     path = f"{folder.rstrip('/')}/{now:%Y%m%d-%H%M%S}_{short_description}"
     written = write_if_absent(
-        chat_samples(valid, system_prompt, payload), f"{path}/train_openai_{short_description}.jsonl", write_training_jsonl
+        chat_samples(valid, system_prompt, payload), f"{path}/train_chat_{short_description}.jsonl", write_training_jsonl
     )
     row = manifest_row(spark, schema.name, schema.version_token, short_description, count, description, now)
     if written:
         write_manifest(row, path, manifest_table)
-        export_sample_set(valid, f"{path}/train_openai_{short_description}_samples")
+        export_sample_set(valid, f"{path}/train_chat_{short_description}_samples")
     return PublishedBatch(path, count, written)

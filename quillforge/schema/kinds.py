@@ -209,7 +209,7 @@ class PayloadSchema:
     name: str
     version: str
     root: Record
-    datagen_template: str = "{SCHEMA}\n\n{EXAMPLE}"
+    generation_template: str = "{SCHEMA}\n\n{EXAMPLE}"
     main_template: str = "{SCHEMA}"
     example: dict[str, Any] = field(default_factory=dict)
 

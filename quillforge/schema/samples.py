@@ -84,7 +84,7 @@ EVENT = register_schema(
             Field("value", Number(ge=0)),
             Field("k", Integer(ge=0, le=99)),
         ),
-        datagen_template="Describe the event as JSON.\n{SCHEMA}\nFor example:\n{EXAMPLE}\n",
+        generation_template="Describe the event as JSON.\n{SCHEMA}\nFor example:\n{EXAMPLE}\n",
         main_template="Describe the event as JSON.\n{SCHEMA}\n",
         example={"event_id": 1, "event_type": "view", "value": 1.5, "k": 7},
     )
@@ -110,7 +110,7 @@ ENTITY = register_schema(
                 nullable=True,
             ),
         ),
-        datagen_template="List the entities of the text.\n{SCHEMA}\nFor example:\n{EXAMPLE}\n",
+        generation_template="List the entities of the text.\n{SCHEMA}\nFor example:\n{EXAMPLE}\n",
         main_template="List the entities of the text.\n{SCHEMA}\n",
         example={
             "is_relevant": True,

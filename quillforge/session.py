@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import sys
 import tempfile
 import uuid
@@ -59,7 +60,7 @@ def stage_folder(spark: SparkSession) -> str:
     """
     shared = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if re.match(r"local(\[|$)", spark.sparkContext.master) is None:
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         shared = tempfile.mkdtemp(prefix="quillforge-stage-")
         spark.sparkContext.setCheckpointDir(shared)

@@ -65,6 +65,10 @@ def write_manifest(row: DataFrame, batch_path: str, table_path: str | None = Non
 
 
 def write_prepared(df: DataFrame, path: str, rank: str = "rank", line: str = "value") -> None:
-    """Lines in the order of a persisted rank column: part files, and lines in them, follow the rank."""
-    ordered = df.repartitionByRange(rank).sortWithinPartitions(rank)
+    """Lines in the order of a persisted rank column: part files, and lines in them, follow the rank.
+
+    Rows of one rank are equal lines; a number of their own lets a much repeated one spread over several files.
+    """
+    numbered = df.select(rank, line, F.monotonically_increasing_id().alias("_own"))
+    ordered = numbered.repartitionByRange(rank, "_own").sortWithinPartitions(rank, "_own")
     ordered.select(line).write.mode("overwrite").text(path)

@@ -16,7 +16,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillforge.functions.payload import strict_object
+from quillforge.functions.payload import TOO_LARGE, beyond_parser, strict_object
 from quillforge.functions.text import DOCUMENT_MEMBER, base_name, batch_name, is_archive
 from quillforge.functions.validation import validate
 from quillforge.operators.dedupe import latest_per_key
@@ -25,6 +25,9 @@ from quillforge.schema.samples import DOCUMENT
 BYTES_PER_TASK = 128 * 1024 * 1024
 FLUSH_BYTES = 16 * 1024 * 1024
 
+# A scheme with the slashes behind it, or the slashes a plain path begins with.
+PATH_SCHEME = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?/+"
+
 _MEMBER_SCHEMA = "batch_pos int, path string, member string, member_pos long, raw string, error string"
 _INDEX_SCHEMA = "batch_pos int, path string, member string, member_pos long, offset long, size long, error string"
 
@@ -87,6 +90,16 @@ def _per_path(make: Callable[[str], Iterator[tuple]], rows: Callable[[], _Rows])
     return run
 
 
+def _text_of(data: bytes, size: int) -> tuple[str | None, str | None]:
+    """(text, error) of a member's bytes."""
+    if len(data) != size:
+        return None, f"short read: {len(data)} of {size} bytes"
+    try:
+        return data.decode(), None
+    except UnicodeDecodeError as failure:
+        return None, f"UnicodeDecodeError: {failure}"
+
+
 def _read_stream(path: str) -> Iterator[tuple]:
     """Document members of an archive, read front to back."""
     try:
@@ -95,9 +108,8 @@ def _read_stream(path: str) -> Iterator[tuple]:
             mode = "r|gz" if path.endswith(".gz") else "r|"
             with tarfile.open(fileobj=source, mode=mode) as tar:
                 for position, member in enumerate(tar):
-                    handle = tar.extractfile(member) if _is_document(member.name) else None
-                    if handle is not None:
-                        yield path, member.name, position, handle.read().decode("utf-8", "replace"), None
+                    if member.isreg() and _is_document(member.name):
+                        yield path, member.name, position, *_text_of(tar.extractfile(member).read(), member.size)
     except (OSError, tarfile.TarError, EOFError) as failure:
         yield path, None, None, None, f"{type(failure).__name__}: {failure}"
 
@@ -121,13 +133,16 @@ def _read_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         opened: dict[str, pa.NativeFile] = {}
         for row in batch.to_pylist():
             path = row["path"]
-            raw = None
-            if row["error"] is None:
-                if path not in opened:
-                    filesystem, location = open_location(path)
-                    opened[path] = filesystem.open_input_file(location)
-                raw = opened[path].read_at(row["size"], row["offset"]).decode("utf-8", "replace")
-            out.add(row["batch_pos"], path, row["member"], row["member_pos"], raw, row["error"])
+            raw, error = None, row["error"]
+            if error is None:
+                try:
+                    if path not in opened:
+                        filesystem, location = open_location(path)
+                        opened[path] = filesystem.open_input_file(location)
+                    raw, error = _text_of(opened[path].read_at(row["size"], row["offset"]), row["size"])
+                except OSError as failure:
+                    error = f"{type(failure).__name__}: {failure}"
+            out.add(row["batch_pos"], path, row["member"], row["member_pos"], raw, error)
             if out.full:
                 yield out.take()
         for handle in opened.values():
@@ -172,13 +187,15 @@ def untar(archives: DataFrame) -> DataFrame:
 def document_members(archives: DataFrame) -> DataFrame:
     """Every document member of the archives (columns path, length, batch_pos), checked.
 
-    Columns: batch_name, batch_pos, file_name, member_pos, raw, content, source,
-    timestamp, errors, archive_error, is_valid. Bad members and unreadable
-    archives stay as invalid rows.
+    Columns: path, batch_name, batch_pos, file_name, member_pos, raw, content,
+    source, timestamp, errors, archive_error, is_valid. Bad members (not UTF-8,
+    cut short, too large to be parsed) and unreadable archives stay as invalid rows.
     """
     parsed = untar(archives).withColumn("_object", strict_object(F.col("raw")))
-    checked = validate(parsed, "_object", DOCUMENT)
+    too_large = F.when(F.col("_object").isNull() & beyond_parser(F.col("raw")), TOO_LARGE)
+    checked = validate(parsed.withColumn("error", F.coalesce("error", too_large)), "_object", DOCUMENT)
     return checked.select(
+        "path",
         batch_name(base_name(F.col("path"))).alias("batch_name"),
         "batch_pos",
         base_name(F.col("member")).alias("file_name"),
@@ -194,16 +211,23 @@ def document_members(archives: DataFrame) -> DataFrame:
 
 
 def documents_of(members: DataFrame) -> DataFrame:
-    """Valid documents; of members with the same base name in a batch the last one counts."""
-    unique = latest_per_key(members.filter("is_valid"), ["batch_name", "file_name"], ["member_pos"])
+    """Valid documents; of members with the same base name in an archive the last one counts."""
+    unique = latest_per_key(members.filter("is_valid"), ["path", "file_name"], ["member_pos"])
     return unique.select("batch_name", "batch_pos", "file_name", "content", "source", "timestamp")
 
 
+def plain_path(path: str) -> str:
+    """A path without its scheme: archives are told apart by the whole of it."""
+    return re.sub(PATH_SCHEME, "/", path)
+
+
 def read_document_members(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Document members of the archives at ``paths``, whose order is the batch order."""
     listing = spark.read.format("binaryFile").load(list(paths)).select("path", "length")
-    order = spark.createDataFrame([(p.rsplit("/", 1)[-1], i) for i, p in enumerate(paths)], "archive string, batch_pos int")
-    named = listing.filter(is_archive(F.col("path"))).withColumn("archive", base_name(F.col("path")))
+    places = {plain_path(p): i for i, p in reversed(list(enumerate(paths)))}
+    order = spark.createDataFrame(list(places.items()), "archive string, batch_pos int")
+    plain = F.regexp_replace("path", PATH_SCHEME, "/")
+    named = listing.filter(is_archive(F.col("path"))).withColumn("archive", plain)
     # ``order`` has one row per path the caller passed in
     return document_members(named.join(F.broadcast(order), "archive").select("path", "length", "batch_pos"))
 

@@ -23,12 +23,15 @@ def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def parse_batch_outputs(lines: DataFrame) -> DataFrame:
-    """Checked replies: record_id, reply (first text part), errors, is_valid. Bad lines stay as invalid rows."""
+    """Checked replies: record_id, reply (first text part), errors, is_valid.
+
+    Bad lines stay as invalid rows, with their record id if they are objects that have one.
+    """
     checked = validate(lines.withColumn("_object", strict_object(F.col("value"))), "_object", BATCH_REPLY)
     first_part = F.get(F.col("output.modelOutput.content"), F.lit(0))["text"]
     return checked.select(
         *lines.columns,
-        F.col("output.recordId").alias("record_id"),
+        F.coalesce(F.col("output.recordId"), F.try_variant_get("_object", "$.recordId", "string")).alias("record_id"),
         first_part.alias("reply"),
         "errors",
         "is_valid",

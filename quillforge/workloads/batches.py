@@ -139,7 +139,7 @@ def semver(spark: SparkSession, folder: str) -> DataFrame:
     "run_names",
     """SELECT event_id, strftime(ts, '%Y%m%d-%H%M%S') || '_' || event_type AS run,
       strftime(ts, '%Y%m%d-%H%M%S') || CASE WHEN event_id % 3 = 0 THEN '' ELSE '-' || event_type || '-run' END AS job,
-      'datagen/' || strftime(ts, '%Y-%m-%d-%H%M') AS batch_job FROM events""",
+      'generation/' || strftime(ts, '%Y-%m-%d-%H%M') AS batch_job FROM events""",
 )
 def run_names(spark: SparkSession, folder: str) -> DataFrame:
     """Run, job and batch-job names from event times."""

@@ -82,8 +82,9 @@ def infer_backfill(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "batch_job",
-    """SELECT doc_id, CASE n_chars % 4 WHEN 0 THEN 'valid' WHEN 1 THEN 'no_json' WHEN 2 THEN 'valid' ELSE 'schema_invalid' END AS status
-    FROM documents WHERE n_chars % 9 <> 0""",
+    """SELECT doc_id, CASE WHEN doc_id % 11 = 0 THEN 'unanswered' WHEN n_chars % 9 = 0 THEN 'bad_reply' WHEN n_chars % 4 IN (0, 2) THEN 'valid'
+      WHEN n_chars % 4 = 1 THEN 'no_json' ELSE 'schema_invalid' END AS status FROM documents
+    UNION ALL SELECT NULL, 'orphan' FROM documents WHERE doc_id % 11 = 0 AND n_chars % 9 <> 0""",
 )
 def batch_job(spark: SparkSession, folder: str) -> DataFrame:
     """Batch generation through request and reply files; some replies are broken records."""
@@ -107,9 +108,12 @@ def batch_job(spark: SparkSession, folder: str) -> DataFrame:
         F.lit("m").alias("model"), F.lit("1").alias("id"), F.lit("message").alias("type"), F.lit("assistant").alias("role"),
         part.alias("content"), F.lit("end_turn").alias("stop_reason"), F.struct(F.lit(1).alias("input_tokens")).alias("usage"),
     )
-    record = F.struct("modelInput", F.when(n % 9 != 0, output).alias("modelOutput"), "recordId")
-    requests.select(F.to_json(record).alias("value")).write.text(f"{place}/output")
-    replies = read_batch_outputs(spark, f"{place}/output").filter("is_valid").select("record_id", "reply")
+    # Every eleventh document's reply comes under an id that nothing has.
+    astray = numbered.filter("doc_id % 11 = 0").select(F.col("record_id").alias("recordId"), F.lit("astray-").alias("before"))
+    record = F.struct("modelInput", F.when(n % 9 != 0, output).alias("modelOutput"), F.concat(F.coalesce("before", F.lit("")), "recordId").alias("recordId"))
+    sent = requests.join(astray, "recordId", "left").filter((n % 9 != 0) | F.col("before").isNull())
+    sent.select(F.to_json(record).alias("value")).write.text(f"{place}/output")
+    replies = read_batch_outputs(spark, f"{place}/output").select("record_id", "reply", "is_valid")
     return batch_results(numbered, replies, TWO_FIELD).select("doc_id", "status")
 
 

@@ -274,18 +274,18 @@ def free_versions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _LISTING_SQL = """listing AS (
-  SELECT ['datagen/' || source || '/output/' || doc_id || '/job.jsonl.out', 'datagen/' || source || '/input/job.jsonl',
-          'datagen/' || source || '-' || doc_id || '/output/job.jsonl.out', 'datagen/' || source || '/output/output/job.jsonl.out',
-          'datagen/late-' || source || '/output/job.jsonl.tmp'][CAST(doc_id % 5 AS INTEGER) + 1] AS key
+  SELECT ['generation/' || source || '/output/' || doc_id || '/job.jsonl.out', 'generation/' || source || '/input/job.jsonl',
+          'generation/' || source || '-' || doc_id || '/output/job.jsonl.out', 'generation/' || source || '/output/output/job.jsonl.out',
+          'generation/late-' || source || '/output/job.jsonl.tmp'][CAST(doc_id % 5 AS INTEGER) + 1] AS key
   FROM documents),
-jobs AS (SELECT DISTINCT 'datagen/' || source AS job_id FROM documents
-  UNION SELECT DISTINCT 'datagen/late-' || source FROM documents
-  UNION SELECT DISTINCT 'datagen/' || source || '/output' FROM documents
-  UNION SELECT DISTINCT 'datagen/' || source || '-' || doc_id FROM documents)"""
+jobs AS (SELECT DISTINCT 'generation/' || source AS job_id FROM documents
+  UNION SELECT DISTINCT 'generation/late-' || source FROM documents
+  UNION SELECT DISTINCT 'generation/' || source || '/output' FROM documents
+  UNION SELECT DISTINCT 'generation/' || source || '-' || doc_id FROM documents)"""
 
 
 def _listing(spark: SparkSession, folder: str) -> DataFrame:
-    source, job = F.col("source"), "datagen/"
+    source, job = F.col("source"), "generation/"
     key = _pick(
         F.concat(F.lit(job), source, F.lit("/output/"), _number(), F.lit("/job.jsonl.out")),
         F.concat(F.lit(job), source, F.lit("/input/job.jsonl")),
@@ -304,12 +304,12 @@ def _listing(spark: SparkSession, folder: str) -> DataFrame:
 def ready_jobs(spark: SparkSession, folder: str) -> DataFrame:
     """Batch jobs whose output has appeared."""
     docs = documents(spark, folder)
-    source = F.concat(F.lit("datagen/"), "source")
+    source = F.concat(F.lit("generation/"), "source")
     jobs = docs.select(
         F.explode(
             F.array(
                 source,
-                F.concat(F.lit("datagen/late-"), "source"),
+                F.concat(F.lit("generation/late-"), "source"),
                 F.concat(source, F.lit("/output")),
                 F.concat(source, F.lit("-"), _number()),
             )
@@ -321,8 +321,8 @@ def ready_jobs(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "located_output",
     f"""WITH {_LISTING_SQL} SELECT min(key) AS key FROM listing
-    WHERE starts_with(key, 'datagen/src1/output/') AND ends_with(key, 'job.jsonl.out')""",
+    WHERE starts_with(key, 'generation/src1/output/') AND ends_with(key, 'job.jsonl.out')""",
 )
 def located_output(spark: SparkSession, folder: str) -> DataFrame:
     """First listed output of one job."""
-    return locate_output(_listing(spark, folder), "datagen/src1/output/*/job.jsonl.out")
+    return locate_output(_listing(spark, folder), "generation/src1/output/*/job.jsonl.out")

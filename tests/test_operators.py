@@ -10,7 +10,7 @@ from quillforge.functions import text as X
 from quillforge.functions.chat import has_chat_shape, render_chat, same_prompt, wrap_output
 from quillforge.functions.markup import markup_to_text
 from quillforge.functions.payload import strip_tags
-from quillforge.functions.prompts import batch_request, datagen_prompt, main_prompt, render_prompt
+from quillforge.functions.prompts import batch_request, generation_prompt, main_prompt, render_prompt
 from quillforge.functions.tokens import token_count, whitespace_tokens
 from quillforge.operators import audits, dedupe, ordering, pairing, pending
 from quillforge.operators.inference import Completion, RateLimited, Retry, infer, with_retry
@@ -47,7 +47,7 @@ def test_names_and_versions(spark):
 def test_prompts(spark):
     fill = lambda c: render_prompt(c, {"SCHEMA": F.lit("s{EXAMPLE}.*"), "EXAMPLE": F.lit("$1")})
     assert values(spark, ["a{SCHEMA}b{EXAMPLE}"], fill) == ["as$1.*b$1"]
-    assert "{" + "SCHEMA}" not in datagen_prompt(EVENT) and '"event_id": 1' in datagen_prompt(EVENT)
+    assert "{" + "SCHEMA}" not in generation_prompt(EVENT) and '"event_id": 1' in generation_prompt(EVENT)
     assert '"event_id": 1' not in main_prompt(EVENT) and "maximum" in main_prompt(EVENT)
     assert values(spark, ["f o\no", "fo\to"], lambda c: same_prompt(c, "foo")) == [True, False]
     line = values(spark, ["hi"], lambda c: F.to_json(batch_request(F.lit(7), c)))[0]
@@ -91,14 +91,12 @@ def _documents(spark, n=1000, seed=3):
     return rows, spark.createDataFrame(rows, "batch_pos int, file_name string, content string, i int").repartition(5)
 
 
-def test_positions_and_caps(spark, monkeypatch):
+def test_positions_and_caps(spark):
     rows, df = _documents(spark)
     ordered = [r[3] for r in sorted(rows)]
     assert {r["i"]: r["position"] for r in ordering.with_positions(df).collect()} == {i: p for p, i in enumerate(ordered)}
-    for limit in (ordering.TOP_N_LIMIT, 10):
-        monkeypatch.setattr(ordering, "TOP_N_LIMIT", limit)
-        got = ordering.take_first(df, 25).collect()
-        assert {(r["i"], r["position"]) for r in got} == {(i, p) for p, i in enumerate(ordered[:25])}
+    got = ordering.take_first(df, 25).collect()
+    assert {(r["i"], r["position"]) for r in got} == {(i, p) for p, i in enumerate(ordered[:25])}
     assert ordering.take_first(df, 5000).count() == len(rows)
     assert [r["i"] for r in ordering.document_order(df).collect()] == ordered
     ids = ordering.assign_record_id(df, n=3).orderBy("record_id").collect()
