@@ -26,7 +26,7 @@ HEADLINE = (
     "line_checks",
     "prepared_corpus",
     "conversation_tokens",
-    "tokenizer_counts",
+    "template_tokens",
     "page_text",
     "infer_stub",
     "batch_job",
