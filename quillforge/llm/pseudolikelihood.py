@@ -1,16 +1,17 @@
 """Scores of texts by masked pseudo-likelihood.
 
 A small network sees the words on both sides of a place, not the word itself, and
-gives a probability to every word of its vocabulary. The score of a text is the sum
-of the logarithms of what it gives to each of its words. Words are counted over the
-whole corpus; the network is trained with numpy on places of every document, each
-task on its own part from common parameters, which are then averaged.
+gives a probability to every output: a common word, or a bucket of all words with one
+hash. A word's share of its bucket is that of its count over the whole corpus, which
+stays a table and is joined to the texts' words. The score of a text is the sum of the
+logarithms of what its words get. The network is trained with numpy on places of every
+document, each task on its own part from common parameters, which are then averaged.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -18,12 +19,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillforge.llm.wordhash import mix, word_hashes
+from quillforge.session import stage
 
 
 @dataclass(frozen=True)
 class Shape:
     """``common`` words have outputs of their own, all others share ``shared`` by hash; outputs are in classes of
-    ``slots``. One place in ``every`` is trained on per round, another one in each document and round."""
+    ``slots``. One place in ``every`` is trained on per round, another one in each document and round.
+    ``smoothing`` is added to the count of every word of a bucket, and to one more that stands for all words not seen."""
 
     common: int = 1024
     shared: int = 1024
@@ -34,6 +37,7 @@ class Shape:
     rounds: int = 2
     batch: int = 4096
     rate: float = 0.1
+    smoothing: float = 0.5
 
     @property
     def outputs(self) -> int:
@@ -124,11 +128,14 @@ def _by_class(cls: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 
 @dataclass(frozen=True)
 class Model:
-    """Sorted hashes of the common words with their outputs, and the network."""
+    """Sorted hashes of the common words with their outputs, and the network; of every bucket the logarithm of its
+    smoothed count, and the table (word, n) of all words."""
 
     hashes: np.ndarray
     outputs: np.ndarray
     network: Network
+    buckets: np.ndarray | None = None
+    words: DataFrame | None = None
 
     def ids(self, words: np.ndarray) -> np.ndarray:
         shape = self.network.shape
@@ -216,40 +223,94 @@ def train_round(docs: DataFrame, model: Model, number: int, piece: int = 4096) -
     return model.network.filled(np.concatenate([np.frombuffer(bytes(p["sums"])) / p["seen"] for p in pieces]))
 
 
+def count_buckets(words: DataFrame, model: Model) -> np.ndarray:
+    """The logarithm of the smoothed count of every bucket."""
+    shape = model.network.shape
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = model.ids(batch.column(0).to_numpy().view(np.uint64)) - shape.common
+            yield pa.RecordBatch.from_arrays([pa.array(ids[ids >= 0]), batch.column(1).filter(pa.array(ids >= 0))], ["bucket", "n"])
+
+    found = words.select("word", "n").mapInArrow(read, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"), F.count("*").alias("types"))
+    total = np.full(shape.shared, shape.smoothing)
+    for r in found.collect():
+        total[r["bucket"]] += r["n"] + shape.smoothing * r["types"]
+    return np.log(total)
+
+
 def learn(docs: DataFrame, shape: Shape = Shape()) -> Model:
     """Count the words of all ``docs`` (text) and train on places of each."""
-    common = count_words(docs).orderBy(F.desc("n"), "word").limit(shape.common).collect()
+    counted = stage(count_words(docs))
+    common = counted.orderBy(F.desc("n"), "word").limit(shape.common).collect()
     words = np.array([r["word"] for r in common], np.int64).view(np.uint64)
     order = np.argsort(words)
     model = Model(words[order], order.astype(np.int64), Network(shape))
     for number in range(shape.rounds):
-        model = Model(model.hashes, model.outputs, train_round(docs, model, number))
-    return model
+        model = replace(model, network=train_round(docs, model, number))
+    return replace(model, buckets=count_buckets(counted, model), words=counted)
+
+
+def bucket_words(rows: DataFrame, model: Model) -> DataFrame:
+    """text_hash, word, k: how often the texts of ``rows`` (text_hash, text) have each of their words that share an output, copies once a batch."""
+    common = model.network.shape.common
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = dict(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
+            hashes, words, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+            for key, text in texts.items():
+                own, n = np.unique(word_hashes((text or "").encode("utf-8", "surrogatepass")), return_counts=True)
+                shared = model.ids(own) >= common
+                words.append(own[shared])
+                counts.append(n[shared])
+                hashes.append(np.full(shared.sum(), key, np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hashes)), pa.array(np.concatenate(words).view(np.int64)), pa.array(np.concatenate(counts))], ["text_hash", "word", "k"])
+
+    return rows.mapInArrow(read, "text_hash long, word long, k long")
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, n_tokens, log_probability (their sum) and per_token of every row of ``docs`` (doc_id, text).
+    """doc_id, n_tokens, log_probability (sum of their outputs'), per_token, word_log_probability (sum of the words') and
+    per_word of every row of ``docs`` (doc_id, text).
 
-    A token is a word between white space. Null and empty texts have no tokens, sum 0 and no mean;
+    A token is a word between white space; one that shares an output gets,
+    as a word, its share of that by its count over the corpus. Null and empty texts have no tokens, sum 0 and no mean;
     repeated rows get equal scores; every token counts, however long the text.
     """
-    offsets = np.array(model.network.shape.offsets)
+    shape, counted = model.network.shape, model.words
+    model = replace(model, words=None)
+    offsets = np.array(shape.offsets)
+    # Of the whole count of its bucket; the word's own count is joined below.
+    less = np.concatenate([np.zeros(shape.common), model.buckets])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            sums, counts = [], []
+            texts = batch.column(2).to_pylist()
+            sums, counts, bucket_sums, shared = [], [], [], []
             for at in range(0, len(texts), 64):
                 line, places, n = model.places(texts[at : at + 64])
                 parts = [places[k : k + 16_384] for k in range(0, len(places), 16_384)]
                 logs = [model.network.log_probability(line[p[:, None] + offsets], line[p]) for p in parts]
+                upto = np.concatenate([[0], np.cumsum(n)])
+                shares = np.concatenate([[0], np.cumsum(less[line[places]])])[upto]
+                shared.append(np.diff(np.concatenate([[0], np.cumsum(line[places] >= shape.common)])[upto]))
                 ends = np.concatenate([[0], np.cumsum(np.concatenate([np.zeros(0), *logs]))])[np.concatenate([[0], np.cumsum(n)])]
                 sums.append(np.diff(ends))
+                bucket_sums.append(np.diff(shares))
                 counts.append(n)
             n, total = np.concatenate(counts), np.concatenate(sums)
             total[n == 0] = 0.0
-            mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(total), mean], ["doc_id", "n_tokens", "log_probability", "per_token"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n), pa.array(total), pa.array(np.concatenate(bucket_sums)), pa.array(np.concatenate(shared))], ["doc_id", "text_hash", "n_tokens", "total", "buckets", "shared"])
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(read, "doc_id long, n_tokens long, log_probability double, per_token double")
+    text = F.col("text").cast("string")
+    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    scored = rows.mapInArrow(read, "doc_id long, text_hash long, n_tokens long, total double, buckets double, shared long")
+    own = bucket_words(rows.select("text_hash", "text"), model).join(counted, "word", "left")
+    # The mean is the same over any number of copies of a text.
+    logs = F.sum(F.col("k") * F.log(F.coalesce("n", F.lit(0)) + F.lit(shape.smoothing)))
+    own = own.groupBy("text_hash").agg((logs / F.sum("k")).alias("own"))
+    words = F.col("total") - F.col("buckets") + F.col("shared") * F.coalesce("own", F.lit(0.0))
+    mean = [F.when(F.col("n_tokens") > 0, total / F.col("n_tokens")) for total in (F.col("total"), words)]
+    scored = scored.join(own, "text_hash", "left")
+    return scored.select("doc_id", "n_tokens", F.col("total").alias("log_probability"), mean[0].alias("per_token"), words.alias("word_log_probability"), mean[1].alias("per_word"))

@@ -335,3 +335,23 @@ def test_texts_in_order_score_better_than_shuffled(spark, awkward):
     odd = {(x["doc_id"], x["n_tokens"]): x for x in pseudolikelihood.score(awkward, model).collect()}
     assert odd[1, 0]["log_probability"] == 0 and odd[2, 0]["per_token"] is None and odd[7, 20_000]["log_probability"] < 0
     assert pseudolikelihood.score(awkward, pseudolikelihood.learn(awkward.limit(0))).count() == awkward.count()
+
+
+def test_words_of_a_bucket_share_its_probability(spark):
+    rows = [(k, f"a b{k % 3} c{k % 7} a") for k in range(40)]
+    model = pseudolikelihood.learn(spark.createDataFrame(rows, DOCS), pseudolikelihood.Shape(common=2, shared=2, slots=2))
+    counts = collections.Counter(w for _, t in rows for w in t.split())
+    asked = [*counts, "unseen", "other"]
+    scored = pseudolikelihood.score(spark.createDataFrame(list(enumerate(asked)) + [(0, asked[0])], DOCS), model).collect()
+    assert len(scored) == len(asked) + 1
+    got = {asked[r["doc_id"]]: np.exp(r["word_log_probability"]) for r in scored}
+    ids = dict(zip(asked, model.ids(np.concatenate([pseudolikelihood.word_hashes(w.encode()) for w in asked])).tolist(), strict=True))
+    # All words seen and one not seen of each bucket make up a distribution.
+    left = {ids[w]: got[w] for w in ("unseen", "other")}
+    for bucket in {2, 3} - set(left):
+        left[bucket] = np.exp(model.network.log_probability(np.full((1, 6), 4), np.array([bucket]))[0]) * 0.5 / np.exp(model.buckets[bucket - 2])
+    assert abs(sum(got[w] for w in counts) + sum(left.values()) - 1) < 1e-5
+    for v in counts:
+        for w in counts:
+            if ids[v] == ids[w] >= 2:
+                assert abs(got[v] / got[w] - (counts[v] + 0.5) / (counts[w] + 0.5)) < 1e-5
