@@ -4,8 +4,8 @@ A small network sees the words on both sides of a place, not the word itself, an
 gives a probability to every output: a common word, or a bucket of all words with one
 hash. A word's share of its bucket is that of its count over the whole corpus, which
 stays a table and is joined to the texts' words. The score of a text is the sum of the
-logarithms of what its words get. The network is trained with numpy on places of every
-document, each task on its own part from common parameters, which are then averaged.
+logarithms of what its words get. The network is trained with numpy on every place of
+every document, each task on its own part from common parameters, which are then averaged.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from quillforge.session import stage
 @dataclass(frozen=True)
 class Shape:
     """``common`` words have outputs of their own, all others share ``shared`` by hash; outputs are in classes of
-    ``slots``. One place in ``every`` is trained on per round, another one in each document and round.
+    ``slots``. Each of the ``rounds`` trains on its part of the places of each document, all together on every place once.
     ``smoothing`` is added to the count of every word of a bucket, and to one more that stands for all words not seen."""
 
     common: int = 1024
@@ -33,7 +33,6 @@ class Shape:
     slots: int = 32
     sides: int = 3
     width: int = 24
-    every: int = 8
     rounds: int = 2
     batch: int = 4096
     rate: float = 0.1
@@ -188,7 +187,7 @@ def train_round(docs: DataFrame, model: Model, number: int, piece: int = 4096) -
             for at in range(0, len(texts), 64):
                 line, places, n = model.places(texts[at : at + 64])
                 within = np.arange(len(places)) - np.repeat(np.cumsum(n) - n, n)
-                places = places[(within + np.repeat(salt[at : at + 64], n) + number) % shape.every == 0]
+                places = places[(within + np.repeat(salt[at : at + 64], n) + number) % shape.rounds == 0]
                 held.append(np.c_[line[places[:, None] + offsets], line[places]])
                 if sum(map(len, held)) >= shape.batch:
                     rows = np.concatenate(held)
@@ -215,7 +214,7 @@ def train_round(docs: DataFrame, model: Model, number: int, piece: int = 4096) -
     schema = pa.schema({"piece": pa.int32(), "seen": pa.int64(), "sums": pa.binary()})
     kinds = "piece int, seen long, sums binary"
     text = F.col("text").cast("string")
-    rows = docs.select(text.alias("text"), F.pmod(F.xxhash64(text), F.lit(shape.every)).alias("salt"))
+    rows = docs.select(text.alias("text"), F.pmod(F.xxhash64(text), F.lit(shape.rounds)).alias("salt"))
     # As many rows as the network has pieces, at any size of the corpus.
     pieces = sorted(rows.mapInArrow(train, kinds).repartition("piece").mapInArrow(total, kinds).collect())
     if not pieces:
@@ -240,7 +239,7 @@ def count_buckets(words: DataFrame, model: Model) -> np.ndarray:
 
 
 def learn(docs: DataFrame, shape: Shape = Shape()) -> Model:
-    """Count the words of all ``docs`` (text) and train on places of each."""
+    """Count the words of all ``docs`` (text) and train on every place of each."""
     counted = stage(count_words(docs))
     common = counted.orderBy(F.desc("n"), "word").limit(shape.common).collect()
     words = np.array([r["word"] for r in common], np.int64).view(np.uint64)

@@ -355,3 +355,20 @@ def test_words_of_a_bucket_share_its_probability(spark):
         for w in counts:
             if ids[v] == ids[w] >= 2:
                 assert abs(got[v] / got[w] - (counts[v] + 0.5) / (counts[w] + 0.5)) < 1e-5
+
+
+def test_every_place_is_trained_on(spark):
+    shape = pseudolikelihood.Shape(common=4, shared=4, slots=4, width=3)
+    for text in ("one", "two", "three", "four", "five"):
+        made = pseudolikelihood.learn(spark.createDataFrame([(1, text)], DOCS), shape).network
+        assert (made.flat() != pseudolikelihood.Network(shape).flat()).any()
+    # Each place of a text of six words is a target in exactly one round.
+    docs = spark.createDataFrame([(1, "a b c d e f")], DOCS)
+    model = pseudolikelihood.learn(docs, pseudolikelihood.Shape(common=8, shared=4, slots=1, rounds=0))
+    targets = collections.Counter()
+    for number in range(2):
+        network = pseudolikelihood.Network(pseudolikelihood.Shape(common=8, shared=4, slots=1, rounds=2))
+        start = pseudolikelihood.Model(model.hashes, model.outputs, network)
+        moved = pseudolikelihood.train_round(docs, start, number).parts["class_bias"]
+        targets.update(np.flatnonzero(moved > 0).tolist())
+    assert targets == dict.fromkeys(range(6), 1)
