@@ -196,7 +196,9 @@ def shingle_rows(docs: DataFrame, members: DataFrame, join: Join) -> DataFrame:
 
     names = ["cls", "n", "comp", "block", "blocks", "own"]
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.xxhash64(F.col("text").cast("string")).alias("rep_hash"), F.col("text").cast("string").alias("text"))
-    joined = texts.join(members, ["rep", "rep_hash"]).select("cls", "n", "comp", "block", "blocks", "text")
+    wanted = members.withColumnsRenamed({"rep": "_rep", "rep_hash": "_hash"})
+    on = [F.col("rep").eqNullSafe(F.col("_rep")), F.col("rep_hash") == F.col("_hash")]
+    joined = texts.join(wanted, on).select("cls", "n", "comp", "block", "blocks", "text")
     return joined.mapInArrow(read, "cls binary, n long, comp binary, block int, blocks int, own binary")
 
 
@@ -206,11 +208,13 @@ def similarity_join(docs: DataFrame, join: Join = Join()) -> DataFrame:
     Words are runs of signs other than white space, unchanged; similarity is that of the sets of ``words``
     consecutive words, of which a shorter text with words has one. One row per row: doc_id, class_id (smallest
     doc_id of the documents that links connect), n_links (other rows that reach the threshold with this one),
-    copy_of (smallest doc_id with the same shingles), n_copies, text_hash, and kept (this is the class's row). A text without words, null too,
-    links to nothing and is its own class. Repeated rows are copies of each other.
+    copy_of (smallest doc_id with the same shingles), n_copies, text_hash, kept (this is the class's row), and class_key. Null ids are
+    smallest only where there is no other; class_key tells classes of nothing but null ids apart. A text without words, null too, links
+    to nothing, is its own class and has no class_key. Repeated rows are copies of each other.
     """
     rows = stage(describe(docs, join))
-    representative = F.min(F.struct("doc_id", "text_hash")).alias("rep")
+    # A null id stands for its class only where no copy has another.
+    representative = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("rep")
     classes = rows.where("cls is not null").groupBy("cls").agg(representative, F.count("*").alias("n"), F.first("bands").alias("bands"))
     classes = stage(classes.select("cls", F.col("rep.doc_id").alias("rep"), F.col("rep.text_hash").alias("rep_hash"), "n", "bands"))
     components = stage(connected(candidate_edges(classes)).select(F.col("node").alias("cls"), F.col("root").alias("comp")))
@@ -224,21 +228,23 @@ def similarity_join(docs: DataFrame, join: Join = Join()) -> DataFrame:
     found = stage(links_of_blocks(pairs, join))
     links = found.groupBy("cls").agg(F.sum("links").alias("links"))
     groups = connected(found.select(F.col("cls").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "cls")
-    groups = groups.join(classes.select("cls", F.struct("rep", "rep_hash").alias("rep")), "cls")
+    groups = groups.join(classes.select("cls", F.struct(F.col("rep").isNull().alias("none"), "rep", "rep_hash").alias("rep")), "cls")
     smallest = groups.groupBy("root").agg(F.min("rep").alias("kept"))
-    linked = groups.join(smallest, "root").join(links, "cls").select("cls", "kept", "links")
-    of_class = classes.select("cls", "rep", "n", F.struct("rep", "rep_hash").alias("own")).join(linked, "cls", "left")
-    of_class = stage(of_class.select("cls", "rep", "n", F.coalesce("kept", "own").alias("kept"), "links"))
+    linked = groups.join(smallest, "root").join(links, "cls").select("cls", "root", "kept", "links")
+    own = F.struct(F.col("rep").isNull().alias("none"), "rep", "rep_hash").alias("own")
+    of_class = classes.select("cls", "rep", "n", own).join(linked, "cls", "left")
+    of_class = stage(of_class.select("cls", "rep", "n", F.coalesce("root", "cls").alias("root"), F.coalesce("kept", "own").alias("kept"), "links"))
     joined = rows.select("doc_id", "text_hash", "cls").join(of_class, "cls", "left")
     kept = F.col("doc_id").eqNullSafe(F.col("kept.rep")) & (F.col("text_hash") == F.col("kept.rep_hash"))
     return joined.select(
         "doc_id",
-        F.coalesce("kept.rep", "doc_id").alias("class_id"),
+        F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("kept.rep")).alias("class_id"),
         (F.coalesce("links", F.lit(0)) + F.coalesce("n", F.lit(1)) - 1).cast("long").alias("n_links"),
-        F.coalesce("rep", "doc_id").alias("copy_of"),
+        F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("rep")).alias("copy_of"),
         F.coalesce("n", F.lit(1)).cast("long").alias("n_copies"),
         "text_hash",
         (F.col("cls").isNull() | kept).alias("kept"),
+        F.hex("root").alias("class_key"),
     )
 
 

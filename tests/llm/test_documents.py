@@ -159,6 +159,23 @@ def test_one_of_each_class_stays(spark, awkward):
     assert one_of_each(awkward.limit(0)).count() == 0
 
 
+def test_null_ids_inside_groups_of_near_copies(spark):
+    rows = [(None if i % 5 == 0 else i, t) for i, t in near_copies(7, 80)]
+    rows += [(None, rows[1][1]), (None, rows[2][1]), (None, None)]
+    only = " ".join(f"n{k}" for k in range(60))
+    rows += [(None, only), (None, only + " m"), (None, "far from all others")]
+    got = similarity_join(spark.createDataFrame(rows, DOCS).repartition(3)).toPandas().astype(object)
+    # Brute force by row numbers that sort null ids last.
+    order = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0))
+    expected = [(order[i][0], order[c][0], n) for i, c, n in brute_links([(k, t) for k, (_, t) in enumerate(order)])]
+    found = [tuple(None if x is None or x != x else int(x) for x in r) for r in got[["doc_id", "class_id", "n_links"]].itertuples(index=False)]
+    assert sorted(found, key=str) == sorted(expected, key=str)
+    classes = {c for _, c, _ in brute_links([(k, t) for k, (_, t) in enumerate(order)])}
+    assert got["class_key"].nunique() == len(classes) - 1 and got["kept"].sum() == len(classes)
+    kept = one_of_each(spark.createDataFrame(rows, DOCS))
+    assert kept.count() == len(classes)
+
+
 def test_pruning_keeps_what_may_reach_the_threshold():
     needed = fewest_matches(Join())
     assert needed[128] < 0.8 * 128 - 5 * (128 * 0.16) ** 0.5 and needed[16] <= 4 and (np.diff(needed) >= 0).all()
