@@ -9,6 +9,9 @@ from collections import Counter
 
 import duckdb
 
+#: The smallest of the given tables.
+SMALL = "/root/testdata/sf0.001"
+
 
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()

@@ -1,8 +1,7 @@
 """Every named query against its SQL, over the smallest tables."""
 
 import pytest
-from conftest import SMALL
-from oracle import connect, differences
+from oracle import SMALL, connect, differences
 
 import __spark_entry__ as entry_points
 
