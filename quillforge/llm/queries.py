@@ -15,6 +15,7 @@ from quillforge.llm.neardup import similarity_join
 from quillforge.llm.packing import pack_documents
 from quillforge.llm.quality import learn, score_quality
 from quillforge.llm.substring import deduplicated
+from quillforge.llm.tokenfile import round_trip
 from quillforge.llm.tokens import count_tokens
 from quillforge.llm.warc import archive_pages
 from quillforge.session import configure
@@ -139,3 +140,9 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Documents packed into sequences of 1024 tokens."""
     return pack_documents(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query()
+def op13_huffman_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Token ids of the documents, written to Huffman-coded files and read back."""
+    return round_trip(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
