@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quillforge.llm import pseudolikelihood
+from quillforge.llm import periodic, pseudolikelihood
 from quillforge.llm.bitsliced import search
 from quillforge.llm.decontaminate import contamination
 from quillforge.llm.html import extract_main_text
@@ -142,6 +142,12 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query()
+def op12_recompression_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of the documents' words, some documents ending in planted repeats."""
+    return periodic.detect(table(spark, folder, "documents"), prepare=periodic.planted)
+
+
 @query()
 def op13_huffman_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of the documents, written to Huffman-coded files and read back."""
