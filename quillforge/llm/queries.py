@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from quillforge.llm import periodic, pseudolikelihood
+from quillforge.llm.alignment import align_documents
 from quillforge.llm.bitsliced import search
 from quillforge.llm.decontaminate import contamination
 from quillforge.llm.html import extract_main_text
@@ -142,6 +143,13 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query()
+def op11_pair_bitmaps(spark: SparkSession, folder: str) -> DataFrame:
+    """Links between the ids of two tokenizers in the documents, scored by the pairs' counts over the corpus."""
+    docs = table(spark, folder, "documents")
+    return align_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query()
 def op12_recompression_runs(spark: SparkSession, folder: str) -> DataFrame:
     """Periodic runs of the documents' words, some documents ending in planted repeats."""
