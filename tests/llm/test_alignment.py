@@ -50,12 +50,12 @@ def expected(rows):
             continue
         ends_a, ends_b = np.cumsum([len(x) for _, x in a]), np.cumsum([len(x) for _, x in b])
         cuts = sorted(set(ends_a.tolist()) & set(ends_b.tolist()))
-        groups, links, start = [], Counter(), 0
-        for end in cuts:
-            own = [[k for (k, _), e in zip(side, ends, strict=True) if start < e <= end] for side, ends in ((a, ends_a), (b, ends_b))]
+        groups, links, i, j = [], Counter(), 0, 0
+        for up_to_a, up_to_b in zip(np.searchsorted(ends_a, cuts, "right"), np.searchsorted(ends_b, cuts, "right"), strict=True):
+            own = [[k for k, _ in a[i:up_to_a]], [k for k, _ in b[j:up_to_b]]]
             groups.append(own)
             links.update((x, y) for x in own[0] for y in own[1])
-            start = end
+            i, j = up_to_a, up_to_b
         found.append((doc_id, len(a), len(b), groups, links))
     counts = Counter(pair for *_, links in found for pair in links)
     highest = Counter()
