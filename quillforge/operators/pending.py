@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillforge.operators.bloom import divided, key_filter
 from quillforge.operators.ordering import DOCUMENT_ORDER, take_first
+from quillforge.session import stage
 
 
 def pending(
@@ -16,14 +18,24 @@ def pending(
     keys: Sequence[str] = ("sample_key",),
     spread_by: Sequence[str] = (),
     salts: int = 16,
+    prefilter: bool = False,
 ) -> DataFrame:
     """Documents whose key has no output yet; failed ones have none, so they come again.
 
     Copies of one document share a key. With ``spread_by`` (columns that tell
     copies apart) they are spread over ``salts`` tasks, against as many copies
     of the short output keys.
+
+    With ``prefilter``, documents whose key a Bloom filter of the outputs' keys
+    excludes are not shuffled at all; ``docs`` is then read twice, so it should
+    be a scan. Key columns must have the same types on both sides.
     """
     done = outputs.select(*keys).distinct()
+    if prefilter:
+        done = stage(done)
+        maybe, rest = divided(docs, key_filter(done, *keys), *keys)
+        left = pending(maybe, done, keys, spread_by, salts)
+        return left if rest is None else left.unionByName(rest)
     if not spread_by:
         return docs.join(done, list(keys), "left_anti")
     salted = docs.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)))

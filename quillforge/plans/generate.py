@@ -38,13 +38,18 @@ def generate(
     """Real-time path: cap, skip what is done, ask once per distinct document, extract and validate.
 
     Without ``n`` this is the backfill: every document without an output. Copies
-    are reduced to the first of their key before anything is joined or asked, so
-    a much-copied document costs one call and no skewed join. Replies are
+    are reduced to the first of their key before anything is asked, so
+    a much-copied document costs one call. Replies are
     written to a stage table before validation; nothing later repeats a call.
     """
-    chosen = docs if n is None else take_first(docs, n, order_by).drop("position")
-    unique = first_per_key(with_keys(chosen, schema), ["sample_key"], order_by)
-    todo = unique if outputs is None else pending(unique, outputs)
+    if n is None:
+        # Documents that a filter of the finished keys excludes, in the scan, meet no join.
+        chosen = with_keys(docs, schema)
+        chosen = chosen if outputs is None else pending(chosen, outputs, spread_by=order_by, prefilter=True)
+        todo = first_per_key(chosen, ["sample_key"], order_by)
+    else:
+        unique = first_per_key(with_keys(take_first(docs, n, order_by).drop("position"), schema), ["sample_key"], order_by)
+        todo = unique if outputs is None else pending(unique, outputs)
     # Without a source or content there is no sample to make: such rows go on, unasked, to the quarantine.
     todo = todo.withColumn("_asked", F.when(F.col("sample_key").isNotNull(), F.col("content")))
     answered = infer(

@@ -182,6 +182,20 @@ def pending_by_content(spark: SparkSession, folder: str) -> DataFrame:
     return pending.pending(docs, outputs, spread_by=["doc_id"])
 
 
+@query(
+    "pending_by_filter",
+    """SELECT doc_id, md5(text) AS content_key, length(text) AS chars FROM documents d
+    WHERE md5(text) IS NULL OR NOT EXISTS (SELECT 1 FROM documents o JOIN labels l ON l.doc_id = o.doc_id AND l.quality = 1
+                                           WHERE md5(o.text) = md5(d.text))""",
+)
+def pending_by_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole documents of which no copy has an output; those that a filter of the finished keys excludes are not shuffled."""
+    docs = documents(spark, folder).select("doc_id", "content", X.content_hash(F.col("content")).alias("content_key"))
+    outputs = docs.join(_done(spark, folder), "doc_id").select("content_key")
+    left = pending.pending(docs, outputs, ["content_key"], spread_by=["doc_id"], prefilter=True)
+    return left.select("doc_id", "content_key", F.length("content").cast("bigint").alias("chars"))
+
+
 @query(
     "capped_then_pending",
     f"""WITH {DOCUMENTS_SQL}, capped AS (SELECT * FROM docs ORDER BY batch_pos, file_name LIMIT 300)
