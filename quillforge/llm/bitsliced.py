@@ -124,7 +124,8 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, scale: int = 64, bl
     ``vectors`` has vec_id and embedding. Queries are the rows whose id is divisible by ``every``; candidates of a
     query all rows with another id and as many components. Rows without an id, and vectors that are null or have
     null or non-finite components, take no part. Ties go to the smaller id; repeated rows are candidates each, and
-    equal query rows one query. Fewer candidates than ``k`` are all returned. Scores beyond a long are its ends.
+    equal query rows one query; rows of one id with different vectors are queries each, with ranks of their own, whose
+    results carry that id alike. Other columns are ignored. Fewer candidates than ``k`` are all returned. Scores beyond a long are its ends.
 
     Blocks are by hash of the id, about ``block_rows`` rows each at any size; every set of queries meets every block
     in a group of its own, and sends on its ``k`` best rows.
@@ -146,11 +147,11 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, scale: int = 64, bl
             for query_id, vector in zip(asked["vec_id"].tolist(), asked["v"], strict=True):
                 query = [int(x) for x in vector]
                 ids, scores = index.top(query, query_id, k)
-                found.append(pd.DataFrame({"query_id": query_id, "query": hash(tuple(query)), "vec_id": ids, "score": scores}))
-        return pd.concat(found) if found else pd.DataFrame({c: pd.Series(dtype="int64") for c in ("query_id", "query", "vec_id", "score")})
+                found.append(pd.DataFrame({"query_id": query_id, "query": [query] * len(ids), "vec_id": ids, "score": scores}))
+        return pd.concat(found) if found else pd.DataFrame({c: [] for c in ("query_id", "query", "vec_id", "score")})
 
     keys = ("dim", "block", "part")
-    local = indexed.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInPandas(run, "query_id long, query long, vec_id long, score long")
+    local = indexed.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInPandas(run, "query_id long, query array<long>, vec_id long, score long")
     best = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")
     ranked = local.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

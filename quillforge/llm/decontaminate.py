@@ -14,6 +14,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillforge.operators.bloom import unused
 from quillforge.session import stage
 
 # What separates words, after A-Z are lower-cased.
@@ -136,6 +137,7 @@ def contamination(docs: DataFrame, items: DataFrame, n: int = 13, share: int = 2
 
 def uncontaminated(docs: DataFrame, items: DataFrame, n: int = 13, share: int = 20) -> DataFrame:
     """``docs``, with all its columns, without the contaminated documents."""
-    found = stage(contamination(docs, items, n, share).where("contaminated").select(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).distinct())
-    on = [F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), F.xxhash64(F.col("text").cast("string")) == F.col("_key")]
+    names = unused("_id", docs), unused("_key", docs)
+    found = stage(contamination(docs, items, n, share).where("contaminated").select(F.col("doc_id").alias(names[0]), F.col("key").alias(names[1])).distinct())
+    on = [F.col("doc_id").cast("long").eqNullSafe(F.col(names[0])), F.xxhash64(F.col("text").cast("string")) == F.col(names[1])]
     return docs.join(found, on, "left_anti")

@@ -16,11 +16,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillforge.llm.components import connected
 from quillforge.llm.wordhash import mix, shingles
+from quillforge.operators.bloom import divided, key_filter, possible, unused
 from quillforge.session import stage
 
 
@@ -195,7 +196,9 @@ def shingle_rows(docs: DataFrame, members: DataFrame, join: Join) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*kept, pa.array([s.tobytes() for s in own], pa.binary())], names).filter(pa.array(right, pa.bool_()))
 
     names = ["cls", "n", "comp", "block", "blocks", "own"]
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.xxhash64(F.col("text").cast("string")).alias("rep_hash"), F.col("text").cast("string").alias("text"))
+    # Only texts that may stand for a class are shuffled.
+    texts = possible(docs.select("doc_id", "text"), key_filter(members, "rep", "rep_hash"), *text_key())
+    texts = texts.select(F.col("doc_id").cast("long").alias("rep"), F.xxhash64(F.col("text").cast("string")).alias("rep_hash"), F.col("text").cast("string").alias("text"))
     wanted = members.withColumnsRenamed({"rep": "_rep", "rep_hash": "_hash"})
     on = [F.col("rep").eqNullSafe(F.col("_rep")), F.col("rep_hash") == F.col("_hash")]
     joined = texts.join(wanted, on).select("cls", "n", "comp", "block", "blocks", "text")
@@ -248,11 +251,21 @@ def similarity_join(docs: DataFrame, join: Join = Join()) -> DataFrame:
     )
 
 
+def text_key() -> tuple[Column, Column]:
+    """What tells the rows of a table of documents apart, as far as they differ: id and hash of the text."""
+    return F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string"))
+
+
 def without(docs: DataFrame, keys: DataFrame, how: str = "left_anti") -> DataFrame:
-    """The rows of ``docs`` whose doc_id and text are not among ``keys`` (doc_id, text_hash), or that are (left_semi)."""
-    keys = keys.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
-    on = [F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), F.xxhash64(F.col("text").cast("string")) == F.col("_hash")]
-    return docs.join(keys, on, how)
+    """The rows of ``docs`` whose doc_id and text are not among ``keys`` (doc_id, text_hash), or that are (left_semi).
+
+    ``keys`` is a table. Rows that a filter of the keys excludes take no part in the join.
+    """
+    own = unused("_id", docs), unused("_hash", docs)
+    maybe, rest = divided(docs, key_filter(keys, "doc_id", "text_hash"), *text_key())
+    listed = keys.select(F.col("doc_id").alias(own[0]), F.col("text_hash").alias(own[1]))
+    found = maybe.join(listed, [k.eqNullSafe(F.col(name)) for k, name in zip(text_key(), own, strict=True)], how)
+    return found if rest is None or how == "left_semi" else found.unionByName(rest)
 
 
 def one_of_each(docs: DataFrame, join: Join = Join()) -> DataFrame:
@@ -264,5 +277,6 @@ def one_of_each(docs: DataFrame, join: Join = Join()) -> DataFrame:
     if repeated.isEmpty():
         return left
     # Rows with one id and one text: any of them is the one.
-    again = without(left, repeated, "left_semi").withColumn("_hash", F.xxhash64(F.col("text").cast("string")))
-    return without(left, repeated).unionByName(again.dropDuplicates(["doc_id", "_hash"]).drop("_hash"))
+    name = unused("_hash", docs)
+    again = without(left, repeated, "left_semi").withColumn(name, text_key()[1])
+    return without(left, repeated).unionByName(again.dropDuplicates(["doc_id", name]).drop(name))

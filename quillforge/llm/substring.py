@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillforge.llm.wordhash import mix, powers, run_hashes, word_hashes, word_spans
+from quillforge.operators.bloom import divided, key_filter, possible, unused
 from quillforge.session import stage
 
 #: Words of an anchor.
@@ -174,7 +175,9 @@ def unit_words(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
     schema = pa.schema({"doc_id": pa.int64(), "text_hash": pa.int64(), "anchor": pa.int64(), "start": pa.int32(), "words": pa.binary(), "hashes": pa.list_(pa.int64())})
-    joined = keyed(docs).join(wanted, ["doc_id", "text_hash"]).select("doc_id", "text_hash", "text", "own")
+    # Only texts that have wanted units are shuffled.
+    texts = possible(keyed(docs), key_filter(wanted, "doc_id", "text_hash"), "doc_id", "text_hash")
+    joined = texts.join(wanted, ["doc_id", "text_hash"]).select("doc_id", "text_hash", "text", "own")
     return joined.mapInArrow(read, "doc_id long, text_hash long, anchor long, start int, words binary, hashes array<long>")
 
 
@@ -229,7 +232,7 @@ def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
     # Long units and the rest of their anchor must meet, so either way is taken by the whole anchor.
     long_units = sole.where(F.col("n") > UNIT_WORDS).select("anchor").distinct().withColumn("long", F.lit(True))
     sole = sole.join(long_units, "anchor", "left").withColumn("by_hash", (F.col("units") > SHARD_UNITS) | F.coalesce("long", F.lit(False)))
-    wanted = sole.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("anchor", "start", "n", "by_hash")).alias("own"))
+    wanted = stage(sole.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("anchor", "start", "n", "by_hash")).alias("own")))
     compared = stage(unit_words(docs, wanted, window).dropDuplicates(["anchor", "doc_id", "text_hash", "start"]))
     shards = compared.where("words is not null").repartition("anchor").sortWithinPartitions("anchor", "doc_id")
     by_automaton = streamed(shards, window)
@@ -252,12 +255,21 @@ def kept_words(text: str | None, own: list[dict] | None, window: int) -> tuple[i
     return len(words), int(len(words) - keep.sum()), b" ".join([words[k] for k in np.flatnonzero(keep)])
 
 
-def with_ranges(docs: DataFrame, window: int) -> DataFrame:
-    """``docs`` with _own, the runs of repeated windows of each row."""
+def with_ranges(docs: DataFrame, window: int) -> tuple[DataFrame, str]:
+    """``docs`` with one more column, and its name: the runs of repeated windows of each row.
+
+    Rows that a filter of the documents with repeated windows excludes have none and take no part in the join.
+    """
     removed = stage(repeated_windows(docs, window)).groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("start", "n")).alias("own"))
-    removed = removed.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("own").alias("_own"))
-    on = [F.col("doc_id").cast("long") == F.col("_id"), F.xxhash64(F.col("text").cast("string")) == F.col("_hash")]
-    return docs.join(removed, on, "left").drop("_id", "_hash")
+    removed = stage(removed)
+    key = F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string"))
+    maybe, rest = divided(docs, key_filter(removed, "doc_id", "text_hash"), *key)
+    names = [unused(n, docs) for n in ("_id", "_hash", "_own")]
+    found = removed.select(*(F.col(c).alias(n) for c, n in zip(removed.columns, names, strict=True)))
+    joined = maybe.join(found, [k == F.col(n) for k, n in zip(key, names, strict=False)], "left").drop(*names[:2])
+    if rest is not None:
+        joined = joined.unionByName(rest.withColumn(names[2], F.lit(None).cast(removed.schema["own"].dataType)))
+    return joined, names[2]
 
 
 def deduplicated(docs: DataFrame, window: int = 50) -> DataFrame:
@@ -274,8 +286,8 @@ def deduplicated(docs: DataFrame, window: int = 50) -> DataFrame:
             sha = [hashlib.sha256(r[2]).hexdigest() for r in rows]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array(sha, pa.string())], ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
-    rows = with_ranges(docs.select("doc_id", "text"), window)
-    return rows.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), "_own").mapInArrow(read, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    rows, own = with_ranges(docs.select("doc_id", "text"), window)
+    return rows.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), own).mapInArrow(read, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 def without_passages(docs: DataFrame, window: int = 50) -> DataFrame:
@@ -298,11 +310,11 @@ def without_passages(docs: DataFrame, window: int = 50) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = batch.column(batch.schema.get_field_index("_own")).to_pylist()
+            own = batch.column(batch.schema.get_field_index(name)).to_pylist()
             place = batch.schema.get_field_index("text")
             texts = batch.column(place).to_pylist()
             new = [cut(t, o) if o else t for t, o in zip(texts, own, strict=True)]
-            columns = {n: batch.column(n) for n in batch.schema.names if n != "_own"}
+            columns = {n: batch.column(n) for n in batch.schema.names if n != name}
             columns["text"] = pa.array(new, batch.schema.field(place).type)
             if "n_chars" in columns:
                 counts = [len(t) if o and t is not None else n for t, o, n in zip(new, own, columns["n_chars"].to_pylist(), strict=True)]
@@ -310,5 +322,5 @@ def without_passages(docs: DataFrame, window: int = 50) -> DataFrame:
             gone = pa.array([o is not None and t is None for t, o in zip(new, own, strict=True)], pa.bool_())
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns)).filter(pc.invert(gone))
 
-    rows = with_ranges(docs, window)
+    rows, name = with_ranges(docs, window)
     return rows.mapInArrow(read, docs.schema)
