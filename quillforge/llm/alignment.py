@@ -19,9 +19,9 @@ import os
 import re
 import sys
 import types
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,47 +37,70 @@ from quillforge.session import stage
 CHUNK_DOCUMENTS, CHUNK_POSTINGS = 8192, 4_000_000
 #: Words that a worker remembers the alignment of, and characters of the longest of them.
 WORDS, LONGEST = 500_000, 64
+#: Groups of more pairs of places than this have their ids counted first.
+MANY_PAIRS = 4096
 #: A pair is one number: the id of the first tokenizer above that of the second.
 SHIFT = 32
 
 
 @dataclass(frozen=True)
-class Aligned:
-    """What a stretch of text holds: ids of both sides, groups, pairs with their number of links, and the groups as text."""
-
-    n_a: int
-    n_b: int
-    n_groups: int
-    pairs: list[int]
-    counts: list[int]
-    shown: str
-
-
-def align(a: list[int], b: list[int], a_sizes: list[int], b_sizes: list[int]) -> Aligned:
-    """Groups and links of two sequences of ids over equally many bytes."""
-    links: Counter[int] = Counter()
-    shown, i, j = [], 0, 0
-    while i < len(a) or j < len(b):
-        first_i, first_j, at_a, at_b = i, j, 0, 0
-        while i < len(a) or j < len(b):
-            if (at_a <= at_b and i < len(a)) or j == len(b):
-                at_a += a_sizes[i]
-                i += 1
-            else:
-                at_b += b_sizes[j]
-                j += 1
-            if at_a == at_b and at_a:
-                break
-        own_a, own_b = a[first_i:i], b[first_j:j]
-        shown.append(f"{','.join(map(str, own_a))}|{','.join(map(str, own_b))}")
-        if len(own_a) == len(own_b) == 1:
-            links[own_a[0] << SHIFT | own_b[0]] += 1
-        else:
-            others = Counter(own_b)
-            for x, n in Counter(own_a).items():
-                for y, m in others.items():
-                    links[x << SHIFT | y] += n * m
-    return Aligned(len(a), len(b), len(shown), list(links), list(links.values()), ";".join(shown))
+class Side:
+    """Ids of one tokenizer for some stretches of text, one stretch after another: how many each has, and how many bytes each id stands for."""
+
+    ids: np.ndarray
+    lengths: np.ndarray
+    sizes: np.ndarray
+
+    @classmethod
+    def of(cls, ids: list[list[int]], spelt: Rows) -> Side:
+        flat = np.fromiter(chain.from_iterable(ids), np.int64, sum(map(len, ids)))
+        return cls(flat, np.array([len(x) for x in ids], np.int64), spelt.lengths(flat))
+
+    def spells(self, spelt: Rows, text: bytes, bounds: np.ndarray) -> np.ndarray:
+        """Which of the stretches, whose bytes in ``text`` lie between the bounds, the ids spell."""
+        ends = np.concatenate([[0], np.cumsum(self.lengths)])
+        right = sums(self.sizes, ends) == np.diff(bounds)
+        own = np.repeat(right, self.lengths)
+        wanted = np.frombuffer(text, np.uint8)[np.repeat(right, np.diff(bounds))]
+        wrong = np.flatnonzero(spelt.gather(self.ids[own]) != wanted)
+        places = np.concatenate([[0], np.cumsum(np.diff(bounds)[right])])
+        right[np.flatnonzero(right)[np.searchsorted(places, wrong, "right") - 1]] = False
+        return right
+
+    def only(self, kept: np.ndarray) -> Side:
+        own = np.repeat(kept, self.lengths)
+        return Side(self.ids[own], np.where(kept, self.lengths, 0), self.sizes[own])
+
+
+def align(a: Side, b: Side) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(cuts, group of every id of a, of b, and the groups' number per stretch) of two sides that spell the same stretches.
+
+    A cut is a byte where ids of both sides end, so every stretch ends with one.
+    """
+    ends_a, ends_b = np.cumsum(a.sizes), np.cumsum(b.sizes)
+    cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
+    bytes_of = np.concatenate([[0], np.cumsum(sums(a.sizes, np.concatenate([[0], np.cumsum(a.lengths)])))])
+    return cuts, np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b), np.diff(np.searchsorted(cuts, bytes_of, "right"))
+
+
+def link(a: Side, b: Side, in_a: np.ndarray, in_b: np.ndarray, groups: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(group, pair, number of links) of all pairs of ids that share a group; only in groups of many ids are pairs told apart."""
+    n_a, n_b = np.bincount(in_a, minlength=groups), np.bincount(in_b, minlength=groups)
+    start_b = np.cumsum(n_b) - n_b
+    small = n_a * n_b <= MANY_PAIRS
+    own = np.flatnonzero(small[in_a])
+    times = n_b[in_a[own]]
+    nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+    pairs = (np.repeat(a.ids[own], times) << SHIFT) | b.ids[np.repeat(start_b[in_a[own]], times) + nth]
+    found = [(np.repeat(in_a[own], times), pairs, np.ones(len(pairs), np.int64))]
+    start_a = np.cumsum(n_a) - n_a
+    for g in np.flatnonzero(~small).tolist():
+        x, n = np.unique(a.ids[start_a[g] : start_a[g] + n_a[g]], return_counts=True)
+        y, m = np.unique(b.ids[start_b[g] : start_b[g] + n_b[g]], return_counts=True)
+        found.append((np.full(len(x) * len(y), g), ((x << SHIFT)[:, None] | y).ravel(), (n[:, None] * m).ravel()))
+    group, pairs, counts = (np.concatenate(c) for c in zip(*found, strict=True))
+    order = np.argsort(group, kind="stable") if len(found) > 1 else slice(None)
+    return group[order], pairs[order], counts[order]
 
 
 class Aligner:
@@ -100,44 +123,55 @@ class Aligner:
         # Fixed rule of byte-level vocabularies: printable signs of Latin-1 stand for their bytes, the other bytes for signs from 256 on.
         others = [x for x in range(256) if not (33 <= x <= 126 or 161 <= x <= 172 or 174 <= x <= 255)]
         byte_of = {chr(256 + k): x for k, x in enumerate(others)} | {chr(x): x for x in set(range(256)) - set(others)}
-        self.a_bytes = [b""] * self.a.get_vocab_size()
+        spelt = [b""] * self.a.get_vocab_size()
         for token, k in self.a.get_vocab().items():
-            self.a_bytes[k] = bytes(byte_of[c] for c in token) if all(c in byte_of for c in token) else token.encode()
+            spelt[k] = bytes(byte_of[c] for c in token) if all(c in byte_of for c in token) else token.encode()
         pieces = [self.b.id_to_piece(k) for k in range(self.b.get_piece_size())]
-        self.b_bytes = [bytes([int(m[1], 16)]) if (m := self.BYTE.fullmatch(p)) else p.replace(self.SPACE, " ").encode() for p in pieces]
+        self.a_bytes = self._bytes(spelt)
+        self.b_bytes = self._bytes([bytes([int(m[1], 16)]) if (m := self.BYTE.fullmatch(p)) else p.replace(self.SPACE, " ").encode() for p in pieces])
+        # The text of each id with what may follow it: another of its side, the other side, the next group.
+        self.shown_as = np.array([[f"{k}{end}" for k in range(max(len(spelt), len(pieces)))] for end in ",|;"], object)
         # Where a piece reached over the start of a word, texts would have to be taken whole.
         self.by_words = not any(re.search(f"[^{self.SPACE}]{self.SPACE}", p) for p in pieces)
-        self.a_sizes, self.b_sizes = [len(x) for x in self.a_bytes], [len(x) for x in self.b_bytes]
         self.cut = re.compile(r"(?<=\S) (?=\S)").split
         self.clear()
 
+    @staticmethod
+    def _bytes(spelt: list[bytes]) -> Rows:
+        rows = Rows("u1")
+        rows.append(np.frombuffer(b"".join(spelt), np.uint8), np.array([len(x) for x in spelt], np.int64))
+        return rows
+
     def clear(self) -> None:
         self.rows: dict[str, int] = {}
         self.pairs, self.counts = Rows("i8"), Rows("i8")
-        self.n_a, self.n_b, self.n_groups = [], [], []
+        #: Per row the numbers of ids of both sides and of groups.
+        self.numbers = np.zeros((3, 0), np.int64)
+        #: Per row the groups as text, each with its end; None where the tokens do not spell the text.
         self.shown: list[str | None] = []
 
-    def aligned(self, stretches: list[str]) -> list[Aligned | None]:
-        """Each stretch, written without the space before it; None if the tokens' bytes are not those of the text."""
-        found: list[Aligned | None] = []
-        left = self.a.encode_batch_fast([" " + s for s in stretches], add_special_tokens=False)
-        for text, x, b in zip(stretches, left, self.b.encode(stretches, num_threads=1), strict=True):
-            a, want = x.ids, b" " + text.encode()
-            same = b"".join([self.a_bytes[k] for k in a]) == want and b"".join([self.b_bytes[k] for k in b]) == want
-            found.append(align(a, b, [self.a_sizes[k] for k in a], [self.b_sizes[k] for k in b]) if same else None)
-        return found
-
     def _learn(self, stretches: list[str]) -> None:
-        found = self.aligned(stretches)
-        self.rows.update(zip(stretches, range(len(self.shown), len(self.shown) + len(found)), strict=True))
-        of = [x or Aligned(0, 0, 0, [], [], "") for x in found]
-        lengths = np.array([len(x.pairs) for x in of], np.int64)
-        self.pairs.append(np.array([p for x in of for p in x.pairs], np.int64), lengths)
-        self.counts.append(np.array([c for x in of for c in x.counts], np.int64), lengths)
-        self.n_a += [x.n_a for x in of]
-        self.n_b += [x.n_b for x in of]
-        self.n_groups += [x.n_groups for x in of]
-        self.shown += [x and x.shown for x in found]
+        """Align stretches, each written without the space before it."""
+        text = "".join([" " + s for s in stretches]).encode()
+        bounds = np.concatenate([[0], np.cumsum([len(s.encode()) + 1 for s in stretches])]).astype(np.int64)
+        a = Side.of([x.ids for x in self.a.encode_batch_fast([" " + s for s in stretches], add_special_tokens=False)], self.a_bytes)
+        b = Side.of(self.b.encode(stretches, num_threads=1), self.b_bytes)
+        spelt = a.spells(self.a_bytes, text, bounds) & b.spells(self.b_bytes, text, bounds)
+        a, b = a.only(spelt), b.only(spelt)
+        cuts, in_a, in_b, groups = align(a, b)
+        of_group, pairs, counts = link(a, b, in_a, in_b, len(cuts))
+        stretch_of = np.repeat(np.arange(len(stretches)), groups)
+        lengths = np.bincount(stretch_of[of_group], minlength=len(stretches))
+        self.rows.update(zip(stretches, range(len(self.shown), len(self.shown) + len(stretches)), strict=True))
+        self.pairs.append(pairs, lengths)
+        self.counts.append(counts, lengths)
+        self.numbers = np.concatenate([self.numbers, [a.lengths, b.lengths, groups]], axis=1)
+        # The ids of each group's first side, then of its second.
+        order = np.argsort(np.concatenate([2 * in_a, 2 * in_b + 1]), kind="stable")
+        last_a, last_b = (np.append(g[1:] != g[:-1], True)[: len(g)] for g in (in_a, in_b))
+        parts = self.shown_as[np.concatenate([np.where(last_a, 1, 0), np.where(last_b, 2, 0)])[order], np.concatenate([a.ids, b.ids])[order]].tolist()
+        at = np.concatenate([[0], np.cumsum(a.lengths + b.lengths)]).tolist()
+        self.shown += ["".join(parts[x:y]) if ok else None for x, y, ok in zip(at, at[1:], spelt.tolist(), strict=False)]
 
     def documents(self, texts: list[str]) -> Iterator[tuple[int, int, int, str, np.ndarray, np.ndarray]]:
         """n_a, n_b, n_groups, groups, pairs and their numbers of links, of each text."""
@@ -145,8 +179,8 @@ class Aligner:
             self.clear()
         split = [(self.cut(t) if self.by_words else [t]) if t else [] for t in texts]
         new = list(set().union(*split) - self.rows.keys())
-        self._learn(new)
-        n_a, n_b, n_groups = (np.array(x, np.int64) for x in (self.n_a, self.n_b, self.n_groups))
+        if new:
+            self._learn(new)
         for own in split:
             rows = [self.rows[s] for s in own]
             shown = [self.shown[r] for r in rows]
@@ -157,7 +191,7 @@ class Aligner:
             pairs, place = np.unique(self.pairs.gather(at), return_inverse=True)
             counts = np.zeros(len(pairs), np.int64)
             np.add.at(counts, place, self.counts.gather(at))
-            yield int(n_a[at].sum()), int(n_b[at].sum()), int(n_groups[at].sum()), ";".join(shown), pairs, counts
+            yield *self.numbers[:, at].sum(axis=1).tolist(), "".join(shown)[:-1], pairs, counts
         for s in new:
             if len(s) > LONGEST:
                 del self.rows[s]
