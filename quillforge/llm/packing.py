@@ -10,7 +10,6 @@ no piece is sorted, and no group of pieces meets in one task.
 
 from __future__ import annotations
 
-import os
 import re
 import sys
 import types
@@ -21,17 +20,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillforge.llm.wordtable import WordTable, sums, together
 from quillforge.session import stage
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-#: Distinct words and pre-tokens that a worker remembers the ids of (some 0.25 GB); then it starts again.
-WORDS, PRE_TOKENS = 400_000, 700_000
-#: Characters of texts that are split at once.
-TOGETHER = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -132,85 +129,58 @@ def pack_histogram(histogram: dict[int, int], capacity: int) -> list[Run]:
     return runs
 
 
-class WordIds(dict):
-    """Ids of texts by the ids of their words, as little-endian unsigned 32-bit numbers.
+class TextIds:
+    """Ids of texts by the ids of their words.
 
-    A byte-level tokenizer splits a text into pre-tokens first, and a single space
-    between two other signs always begins one. Where a text has only Latin letters,
-    digits, ASCII signs, spaces and line ends, the pre-tokens themselves are known, so
-    each is encoded once and remembered. Any other text is encoded whole.
+    A byte-level tokenizer splits a text into pre-tokens first, and a single space or line
+    end between two signs that are no white space always begins one (a line end always is
+    one), so texts are cut there. The pre-tokens of words of ASCII signs and common Latin
+    letters are known; any other word is left to the tokenizer.
     """
 
-    #: The classes of signs, and the pre-token pattern of the byte-level tokenizer over them.
+    #: The classes of signs, the pre-token pattern of the byte-level tokenizer over them, and all white space.
     LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
     PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[0-9]+| ?[^\s{LETTERS}0-9]+|\s+(?!\S)|\s+"
+    WHITE = "\t-\r\x1c-\x20\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+    #: Marks the cuts; a text that has it is cut sign by sign.
+    MARK = "\x01"
 
     def __init__(self, path: str):
-        super().__init__()
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core a task
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
-        # Fixed rule of byte-level vocabularies: printable signs of Latin-1 stand for their bytes, the other bytes for signs from 256 on.
-        others = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255)]
-        self.byte_signs = {b: 256 + k for k, b in enumerate(others)}
-        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        signs = rf"[!-~{self.LETTERS}]"
+        self.table = WordTable(path, self.pre_tokens)
+        added = [t.content for t in self.table.tokenizer.get_added_tokens_decoder().values()]
         never = "".join(rf"(?!.*{re.escape(a)})" for a in added)
-        self.sure = re.compile(rf"(?s:{never}){signs}(?:(?:{signs}|\n)*{signs})?").fullmatch
-        self.pre_tokens = re.compile(self.PATTERN).findall
-        self.pieces: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
-
-    def encode_pre_token(self, piece: str) -> bytes:
-        """A known pre-token needs no splitting, so the model sees it at once, in the signs that stand for bytes."""
-        mapped = piece.encode().decode("latin-1").translate(self.byte_signs)
-        return np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
-
-    def word(self, word: str) -> bytes | None:
-        """Ids of a word, from its space on; None if its place in the text could change them."""
-        if not self.sure(word.removeprefix(" ")):
-            return None
-        for p in (parts := self.pre_tokens(word)):
-            if p not in self.pieces:
-                self.pieces[p] = self.encode_pre_token(p)
-        return b"".join([self.pieces[p] for p in parts])
-
-    def ids(self, texts: list[str]) -> Iterator[bytes]:
-        """Ids of each text. Texts are taken together up to a number of characters, which bounds the memory."""
-        start = size = 0
-        for k, text in enumerate(texts):
-            size += len(text)
-            if size >= TOGETHER or k == len(texts) - 1:
-                yield from self._ids(texts[start : k + 1])
-                start, size = k + 1, 0
-
-    def _ids(self, texts: list[str]) -> Iterator[bytes]:
-        if len(self) > WORDS:
-            self.clear()
-        if len(self.pieces) > PRE_TOKENS:
-            self.pieces.clear()
-        split = [t.split(" ") for t in texts]
-        firsts = [own.pop(0) for own in split]
-        # Keys are the words behind a space, without it.
-        for w in set().union(*split):
-            if w not in self:
-                self[w] = self.word(f" {w}")
-        for text, first, own in zip(texts, firsts, split, strict=True):
-            parts = [self.word(first), *map(self.__getitem__, own)]
-            yield self.encode([text])[0] if None in parts else b"".join(parts)
-
-
-def word_ids(path: str) -> WordIds:
+        self.sure = re.compile(rf"(?s:{never})[ -~\n{self.LETTERS}]*").fullmatch
+        self.find = re.compile(self.PATTERN).findall
+        self.cut = re.compile(rf"(?<=[^{self.WHITE}])(?=[ \n][^{self.WHITE}])").split
+        self.uneven = rf"[{self.WHITE}][ \n]|[ \n][{self.WHITE}]|^[ \n]|[ \n]$|{self.MARK}"
+
+    def pre_tokens(self, word: str) -> list[str] | None:
+        return self.find(word) if self.sure(word) else None
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids of each text)."""
+        marked = texts
+        for sign in " \n":
+            marked = pc.replace_substring(marked, sign, self.MARK + sign)
+        # Where white space meets a space or line end, signs on both sides decide.
+        uneven = np.flatnonzero(pc.match_substring_regex(texts, self.uneven).to_numpy(zero_copy_only=False)).tolist()
+        words = pc.split_pattern(marked, self.MARK)
+        if uneven:
+            lists = words.to_pylist()
+            for k in uneven:
+                lists[k] = self.cut(texts[k].as_py())
+            words = pa.array(lists, pa.list_(pa.string()))
+        rows = self.table.rows(words.flatten())
+        offsets = words.offsets.to_numpy()
+        return self.table.ids.gather(rows), sums(self.table.ids.lengths(rows), offsets - offsets[0])
+
+
+def text_ids(path: str) -> TextIds:
     """This worker's ids, kept from one task to the next."""
     kept = sys.modules.setdefault("_kept_by_worker", types.ModuleType("_kept_by_worker")).__dict__
-    key = f"word_ids {path}"
+    key = f"byte-level ids {path}"
     if key not in kept:
-        kept[key] = WordIds(path)
+        kept[key] = TextIds(path)
     return kept[key]
 
 
@@ -219,20 +189,25 @@ def pieces_of(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> Da
     pieces of the same length. Null texts are empty; every row is a document of its own."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, task = word_ids(tokenizer), TaskContext.get().partitionId()
-        end, seen = np.array([end_id], "<u4").tobytes(), np.zeros(capacity + 1, np.int64)
+        encoder, task = text_ids(tokenizer), TaskContext.get().partitionId()
+        seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
-            doc_ids, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
-            rows: list[tuple] = []
-            for doc_id, ids in zip(doc_ids, encoder.ids(texts), strict=True):
-                ids += end
-                n = len(ids) // 4
-                start, stop, piece = 0, n - (n - 1) // capacity * capacity, 0
-                while start < n:
-                    rows.append((doc_id, piece, start, stop - start, zlib.crc32(ids[4 * start : 4 * stop]), task, int(seen[stop - start])))
-                    seen[stop - start] += 1
-                    start, stop, piece = stop, stop + capacity, piece + 1
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types_, strict=True)], names)
+            texts, rows = pc.fill_null(batch.column(1), ""), []
+            for first, last in together(texts):
+                ids, lengths = encoder.ids(texts.slice(first, last - first))
+                ends = np.cumsum(lengths)
+                data = memoryview(np.insert(ids.astype("<u4"), ends, end_id).tobytes())
+                at = 0
+                for doc_id, n in zip(batch.column(0).slice(first, last - first).to_pylist(), (lengths + 1).tolist(), strict=True):
+                    start, stop, piece = 0, n - (n - 1) // capacity * capacity, 0
+                    while start < n:
+                        crc = zlib.crc32(data[4 * (at + start) : 4 * (at + stop)])
+                        rows.append((doc_id, piece, start, stop - start, crc, task, int(seen[stop - start])))
+                        seen[stop - start] += 1
+                        start, stop, piece = stop, stop + capacity, piece + 1
+                    at += n
+            columns = zip(*rows, strict=True) if rows else [[]] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types_, strict=True)], names)
 
     names = ["doc_id", "piece", "start", "length", "ids_crc32", "task", "nth"]
     types_ = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
