@@ -18,6 +18,13 @@ At the top level the stages are ordinary projections, so every intermediate
 value is computed once and the whole chain stays in one code-generated stage.
 For array elements the same stages are chained ``transform`` calls. Nothing is
 shuffled and no Python runs.
+
+Most payloads need none of this. A record of scalars (and of records and arrays of
+scalars) is first cast as a whole to its declared struct; if the struct, written
+as JSON, is the text of the payload, every member has its declared type and only
+bounds are left to check. The stages are for the rest: at the top level their
+raw values are null where the cast conforms, in arrays they are not evaluated.
+Payloads are JSON: a VARIANT of dates or binaries is not told from one of texts.
 """
 
 from __future__ import annotations
@@ -25,11 +32,13 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillforge.functions.text import fence, strip_ws
+from quillforge.functions.text import fence, let, strip_ws
 from quillforge.schema.kinds import (
     AnyObject,
     Boolean,
@@ -224,8 +233,182 @@ def _error(path: Column | str, code: Column | str) -> Column:
     return F.struct(as_col(path).alias("path"), as_col(code).alias("code"))
 
 
+@dataclass(frozen=True)
+class _Cast:
+    """A kind that is cast as a whole: its nodes, the type of the cast, and the members whose null is as good as their absence."""
+
+    root: _Node
+    ddl: str
+    silent: tuple[str, ...]
+
+    def text(self, value: Column) -> Column:
+        """The payload as JSON, without the nulls of silent members."""
+        text = F.to_json(value)
+        for name in self.silent:
+            for pattern in (f',"{name}":null', f'"{name}":null,', f'"{name}":null'):
+                text = F.replace(text, F.lit(pattern), F.lit(""))
+        return text
+
+    def conforms(self, value: Column, typed: Column) -> Column:
+        """Whether the cast lost nothing, and every number that is kept as it was is one."""
+        same = F.to_json(typed) == self.text(value)
+        for n in self.root.walk():
+            own = _member(typed, n)
+            if isinstance(n.kind, Number):
+                same = same & (own.isNull() | _is_number(F.schema_of_variant(own)))
+            elif isinstance(n.kind, Items):
+                same = same & (own.isNull() | ~F.exists(own, lambda x: x.isNull()))
+        return F.coalesce(same, F.lit(False))
+
+    def checked(self, typed: Column) -> tuple[Column, Column]:
+        """(errors, value) of a cast that conforms, in which an absent member is a null. Errors are put together only if there is one."""
+        wrong, listed = _cast_errors(self.root, typed)
+        errors = F.when(wrong, listed).otherwise(_empty_errors()) if wrong is not None else _empty_errors()
+        return errors, _cast_value(self.root, typed)
+
+
+def _member(typed: Column, n: _Node) -> Column:
+    for part in n.path:
+        typed = typed.getField(part)
+    return typed
+
+
+def _folded(n: _Node, value: Column) -> Column:
+    return F.lower(value) if isinstance(n.kind, Choice) and (n.fold or n.kind.ignore_case) else value
+
+
+def _outside(n: _Node, value: Column) -> list[tuple[Column, str]]:
+    """What of a value of the declared type, not null, can still be wrong, each with its code."""
+    kind = n.kind
+    if isinstance(kind, Choice):
+        return [(~_folded(n, value).isin(*kind.values), DOMAIN)]
+    if isinstance(kind, Items) and kind.max_length is not None:
+        return [(F.size(value) > kind.max_length, TOO_LONG)]
+    if not isinstance(kind, (Integer, Number)) or (kind.ge, kind.le) == (None, None):
+        return []
+    number = F.try_variant_get(value, "$", "double") if isinstance(kind, Number) else value
+    inside = F.lit(True) if isinstance(kind, Integer) else ~F.isnan(number)
+    if kind.ge is not None:
+        inside = inside & (number >= F.lit(kind.ge))
+    if kind.le is not None:
+        inside = inside & (number <= F.lit(kind.le))
+    return [(~inside, RANGE)]
+
+
+def _any(tests: list[Column]) -> Column | None:
+    return reduce(or_, tests) if tests else None
+
+
+def _cast_errors(n: _Node, typed: Column) -> tuple[Column | None, Column]:
+    """(whether anything is wrong at or below a node that is there, the errors then). None: nothing can be."""
+
+    def own(c: _Node) -> list[tuple[Column, str]]:
+        value = _member(typed, c)
+        absent = [(value.isNull(), MISSING)] if c.required else []
+        return absent + [(value.isNotNull() & F.coalesce(test, F.lit(False)), code) for test, code in _outside(c, value)]
+
+    def error(c: _Node) -> Column | None:
+        found = None
+        for test, code in own(c):
+            found = F.when(test, _error(c.dotted, code)) if found is None else found.when(test, _error(c.dotted, code))
+        return found
+
+    def inner(c: _Node) -> tuple[Column | None, Column]:
+        value = _member(typed, c)
+        if isinstance(c.kind, Record):
+            wrong, listed = _cast_errors(c, typed)
+            return (None if wrong is None else value.isNotNull() & wrong), listed
+        element = _tree(c.kind.element)
+        tests = _outside(element, F.lit(None).cast("string"))
+        if not tests:
+            return None, _empty_errors()
+        bad = lambda x: _outside(element, x)[0][0]
+        at = lambda x, i: F.when(bad(x), _error(F.concat(F.lit(f"{c.dotted}["), i.cast("string"), F.lit("]")), tests[0][1]))
+        return value.isNotNull() & F.exists(value, bad), F.array_compact(F.transform(value, at))
+
+    leaves = [c for c in n.children if not isinstance(c.kind, (Items, Record))]
+    tests = [test for c in n.children for test, _ in own(c)]
+    found = [e for c in leaves if (e := error(c)) is not None]
+    groups = [F.array_compact(F.array(*found))] if found else []
+    for c in n.children:
+        if c in leaves:
+            continue
+        wrong, listed = inner(c)
+        if wrong is not None:
+            tests.append(wrong)
+            listed = F.when(wrong, listed).otherwise(_empty_errors())
+        at_node = error(c)
+        if at_node is not None:
+            listed = F.coalesce(F.when(at_node.isNotNull(), F.array(at_node)), listed)
+        if at_node is not None or wrong is not None:
+            groups.append(listed)
+    return _any(tests), F.concat(*groups) if len(groups) > 1 else groups[0] if groups else _empty_errors()
+
+
+def _cast_value(n: _Node, typed: Column) -> Column:
+    """Normalised value of a node of a cast that conforms."""
+    value = _member(typed, n)
+    if isinstance(n.kind, Number):
+        value = F.try_variant_get(value, "$", "double")
+    elif isinstance(n.kind, Items) and isinstance(n.kind.element, Choice):
+        element = _tree(n.kind.element)
+        value = F.transform(value, lambda x: _folded(element, x)) if n.kind.element.ignore_case else value
+    elif isinstance(n.kind, Record):
+        members = F.struct(*[_cast_value(c, typed).alias(c.path[-1]) for c in n.children])
+        value = F.when(value.isNotNull(), members) if n.path else members
+    else:
+        value = _folded(n, value)
+    return value if n.required or n.default is None else F.coalesce(value, _default(n))
+
+
+def _cast(kind: Kind) -> _Cast | None:
+    """How the kind is cast as a whole; None for kinds that are not records, or hold more than scalars and arrays of them."""
+    scalars = {Text: "string", Choice: "string", Integer: "bigint", Boolean: "boolean"}
+
+    def ddl(k: Kind) -> str | None:
+        if isinstance(k, Number):
+            return "variant"
+        if isinstance(k, Items):
+            inner = scalars.get(type(k.element))
+            return inner and f"array<{inner}>"
+        if not isinstance(k, Record):
+            return scalars.get(type(k))
+        # A payload's text has its members in the order of their names.
+        members = [(f.name, ddl(f.kind)) for f in sorted(k.fields, key=lambda f: f.name)]
+        if not members or any(t is None or "`" in name for name, t in members):
+            return None
+        return f"struct<{', '.join(f'`{name}`: {t}' for name, t in members)}>"
+
+    declared = ddl(kind) if isinstance(kind, Record) else None
+    if declared is None:
+        return None
+    root = _tree(kind)
+    silent: dict[str, bool] = {}
+    for n in root.walk()[1:]:
+        own = n.nullable and not n.required and n.default is None
+        silent[n.path[-1]] = silent.get(n.path[-1], True) and own
+    return _Cast(root, declared, tuple(name for name, own in silent.items() if own))
+
+
 def _element_stage(kind: Kind, elements: Column) -> Column:
-    """``array<struct<errors,value>>`` of the elements, error paths relative to the element."""
+    """``array<struct<errors,value>>`` of the elements: by the cast where it conforms, else by the stages."""
+    cast = _cast(kind)
+    if cast is None:
+        return _element_stages(kind, elements)
+
+    def fast(t: Column) -> Column:
+        errors, value = cast.checked(t)
+        return F.struct(errors.alias("errors"), value.alias("value"))
+
+    def checked(e: Column) -> Column:
+        typed = F.try_variant_get(e, "$", cast.ddl)
+        return let(typed, lambda t: F.when(cast.conforms(e, t), fast(t)).otherwise(F.get(_element_stages(kind, F.array(e)), F.lit(0))))
+
+    return F.transform(elements, checked)
+
+
+def _element_stages(kind: Kind, elements: Column) -> Column:
+    """``array<struct<errors,value>>`` of the elements by the stages, error paths relative to the element."""
     root = _tree(kind)
 
     def fields(columns: dict[str, Column]) -> Column:
@@ -375,13 +558,23 @@ def validate(
         temporary.extend(f"__{name}" for name in columns)
         return frame.withColumns({f"__{name}": column for name, column in columns.items()})
 
-    staged = add(df, _raw_stage(root, F.col(payload)))
+    cast = _cast(kind)
+    if cast is None:
+        staged = add(df, _raw_stage(root, F.col(payload)))
+    else:
+        staged = add(df, {"typed": F.try_variant_get(F.col(payload), "$", cast.ddl)})
+        staged = add(staged, {"fits": cast.conforms(F.col(payload), get("typed"))})
+        staged = add(staged, {name: F.when(~get("fits"), x) for name, x in _raw_stage(root, F.col(payload)).items()})
     staged = add(staged, _type_stage(root, get))
     staged = add(staged, _word_stage(root, get))
     staged = add(staged, _value_stage(root, get))
     staged = add(staged, _code_stage(root, get))
-    staged = add(staged, {"errors": _errors(root, get)})
+    found, value = _errors(root, get), _value(root, get)
+    if cast is not None:
+        own = cast.checked(get("typed"))
+        found, value = (F.when(get("fits"), fast).otherwise(slow) for fast, slow in zip(own, (found, value), strict=True))
+    staged = add(staged, {"errors": found})
     found = get("errors")
     sound = F.size(found) == 0
-    fenced = fence(staged, {errors: found, is_valid: sound, output: F.when(sound, _value(root, get))})
+    fenced = fence(staged, {errors: found, is_valid: sound, output: F.when(sound, value)})
     return fenced.drop(*temporary)

@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 from pydantic import BaseModel, Field as Limit, ValidationError
 from pyspark.sql import functions as F
 
+from quillforge.functions import validation
 from quillforge.functions.payload import strict_object
 from quillforge.functions.validation import validate
 from quillforge.schema import AnyObject, Boolean, Choice, Field, Integer, Items, Number, PayloadSchema, Record, Text
@@ -190,3 +191,28 @@ def test_plan_has_no_shuffle_and_no_python(spark):
     assert "Exchange" not in plan and "Python" not in plan
     # a filter must not repeat the validation
     assert plan.count("from_json") <= 2
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(WHOLES, min_size=150, max_size=150))
+def test_cast_and_stages_agree(spark, payloads):
+    """The same payloads by the cast, where it conforms, and by the stages alone: errors, their order, and values."""
+    texts = [json.dumps(p) for p in payloads]
+    kinds = [PART, WHOLE, Record(*[f for f in WHOLE.fields if f.name != "parts"], forbid_unknown=True)]
+    for kind in kinds:
+        with_cast = check(spark, texts, kind)
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(validation, "_cast", lambda kind: None)
+            assert str(check(spark, texts, kind)) == str(with_cast)
+
+
+def test_what_the_cast_takes(spark):
+    one = Record(Field("a", Text()), Field("n", Number(ge=0)), Field("z", Integer(), nullable=True, default=None), Field("l", Items(Choice("x", ignore_case=True)), default=["x"]))
+    cast = validation._cast(one)
+    assert cast.ddl == "struct<`a`: string, `l`: array<string>, `n`: variant, `z`: bigint>" and cast.silent == ("z",)
+    assert validation._cast(Items(Text())) is None and validation._cast(Record(Field("r", Items(one)))) is None
+    assert validation._cast(Record(Field("o", AnyObject()))) is None and validation._cast(Record()) is None
+    texts = ['{"a":"1","n":2}', '{"n":2.50,"z":null,"a":"","l":["X","y"]}', '{"a":1,"n":2}', '{"a":"1","n":"2"}', '{"a":"1","n":2,"b":0}', '{"a":null,"n":2}', '{"n":-1}']
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(F.parse_json("t").alias("p"))
+    fits = rows.select(cast.conforms(F.col("p"), F.try_variant_get("p", "$", cast.ddl))).collect()
+    assert [r[0] for r in fits] == [True, True, False, False, False, False, True]
