@@ -227,7 +227,9 @@ class TextIds:
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, number of ids of each text)."""
-        words = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        # A full stop or comma behind a letter and before white space is a token of its own.
+        apart = pc.replace_substring_regex(texts, r"(\pL)([.,])(\s|$)", r"\1 \2\3")
+        words = pc.split_pattern(pc.replace_substring(apart, "\n", " "), " ")
         rows = self.table.rows(words.flatten())
         offsets = words.offsets.to_numpy()
         return self.table.ids.gather(rows), sums(self.table.ids.lengths(rows), offsets - offsets[0])

@@ -124,10 +124,12 @@ class WordTable:
             self.piece_ids.clear()
         coded = words.dictionary_encode()
         different = coded.dictionary.to_pylist()
-        new = [w for w in different if w not in self.words]
+        found = [*map(self.words.get, different)]
+        new = [w for w, row in zip(different, found, strict=True) if row is None]
         if new:
             self._learn(new)
-        rows = np.array([self.words[w] for w in different], np.int64)[coded.indices.to_numpy()]
+            found = [self.words[w] if row is None else row for w, row in zip(different, found, strict=True)]
+        rows = np.array(found, np.int64)[coded.indices.to_numpy()]
         for w in new:
             if len(w) > LONGEST:
                 del self.words[w]
