@@ -147,8 +147,9 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, scale: int = 64, bl
             for query_id, vector in zip(asked["vec_id"].tolist(), asked["v"], strict=True):
                 query = [int(x) for x in vector]
                 ids, scores = index.top(query, query_id, k)
-                found.append(pd.DataFrame({"query_id": query_id, "query": [query] * len(ids), "vec_id": ids, "score": scores}))
-        return pd.concat(found) if found else pd.DataFrame({c: [] for c in ("query_id", "query", "vec_id", "score")})
+                if len(ids):
+                    found.append(pd.DataFrame({"query_id": query_id, "query": [query] * len(ids), "vec_id": ids, "score": scores}))
+        return pd.concat(found) if found else pd.DataFrame({c: pd.Series(dtype=t) for c, t in (("query_id", "int64"), ("query", object), ("vec_id", "int64"), ("score", "int64"))})
 
     keys = ("dim", "block", "part")
     local = indexed.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInPandas(run, "query_id long, query array<long>, vec_id long, score long")

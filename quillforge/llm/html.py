@@ -2,7 +2,8 @@
 
 Every page scores its own containers. Their paths, generalised to tags and classes
 without numbers, are votes, summed per host in Spark. Each page is then read again
-and its text taken from the containers on the path its host agreed on.
+and its text taken from the containers on the paths its host agreed on, with the
+article they lie in, or the headings and leads around them.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ BLOCKS = frozenset(
 )
 #: Elements that a page's text can lie in.
 CONTAINERS = frozenset("article body center div fieldset main section table tbody td tr".split())
+#: Elements that hold a stretch of an article's prose.
+PROSE = frozenset("blockquote dd dt figcaption figure h1 h2 h3 h4 h5 h6 li ol p pre td th ul".split())
 #: What closes an open p, li, and so on, without an end tag.
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 #: Elements that such an implied end does not reach out of.
@@ -53,6 +56,10 @@ NAME_PARTS = re.compile(r"[a-z]+|[A-Z][a-z]*|[A-Z]+(?![a-z])")
 #: Attributes that can matter, and elements that depend on where they stand.
 NAMED = re.compile(r"class|id|role|hidden|style", re.IGNORECASE)
 LANDMARKS = frozenset({"header"})
+#: Elements that are one article with all they hold.
+WHOLE = frozenset({"article", "main"})
+#: A path beside the best one wins too with so large a part of its vote, and of the whole host's (so at most 20 win).
+BESIDE_BEST, OF_HOST = 1 / 3, 1 / 20
 #: A longer path goes on from its digest.
 LONGEST_PATH = 1000
 HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
@@ -60,7 +67,7 @@ HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNO
 
 @dataclass(slots=True)
 class Node:
-    """An element. ``drop``: 2 its tag is never text, 1 its names say so."""
+    """An element. ``drop``: 2 its tag is never text, 1 its names say so; ``doubtful``: they do, but it holds most of the page."""
 
     tag: str
     parent: int
@@ -71,6 +78,7 @@ class Node:
     chars: int = 0
     links: int = 0
     score: float = 0.0
+    doubtful: bool = False
 
 
 def describe(tag: str, attributes: str, in_article: bool) -> tuple[str, int]:
@@ -86,7 +94,9 @@ def describe(tag: str, attributes: str, in_article: bool) -> tuple[str, int]:
     step = ".".join([tag, *sorted({re.sub(r"\d+", "#", c) for c in classes})])
     if not drop and names and tag not in {"html", "body", "main", "article"}:
         hidden = "hidden" in names or names.get("aria-hidden", "").lower() == "true" or HIDDEN_STYLE.search(names.get("style", ""))
-        words = {p.lower() for c in [*classes, names.get("id", "")] for p in NAME_PARTS.findall(c)}
+        # An id on a paragraph of an article is an anchor to it more likely than a name for what it is.
+        named = classes if in_article and tag in PROSE else [*classes, names.get("id", "")]
+        words = {p.lower() for c in named for p in NAME_PARTS.findall(c)}
         if hidden or names.get("role", "").lower() in NOT_ROLES:
             drop = 2
         elif words & NOT_NAMES:
@@ -174,7 +184,7 @@ def judge(nodes: list[Node], runs: list[tuple[int, str, int]]) -> None:
         total[nodes[k].parent] += total[k] if nodes[k].drop < 2 else 0
     for k, node in enumerate(nodes):
         if node.drop == 1 and 2 * total[k] > total[0]:
-            node.drop = 0
+            node.drop, node.doubtful = 0, True
         if k and nodes[node.parent].drop:
             node.drop = 2
     for k in range(len(nodes) - 1, 0, -1):
@@ -185,15 +195,15 @@ def judge(nodes: list[Node], runs: list[tuple[int, str, int]]) -> None:
         if node.tag in CONTAINERS:
             # Part of what a container holds counts for the one around it.
             parent.score += 0.6 * node.score
-            node.score *= 1.5 if node.tag in {"article", "main"} else 1.0
+            node.score *= (1.5 if node.tag in WHOLE else 1.0) * (0.25 if node.doubtful else 1.0)
         else:
             parent.score += node.score
             parent.chars += node.chars
             parent.links += node.links
 
 
-def best_paths(nodes: list[Node], most: int = 3) -> list[tuple[str, float]]:
-    """The best paths of a page and their shares of its vote."""
+def best_paths(nodes: list[Node], most: int | None = None) -> list[tuple[str, float]]:
+    """The scored paths of a page, best first, and their shares of its vote."""
     scores: dict[str, float] = {}
     for node in nodes:
         if node.tag in CONTAINERS and not node.drop and node.score > 0:
@@ -203,14 +213,32 @@ def best_paths(nodes: list[Node], most: int = 3) -> list[tuple[str, float]]:
     return [(p, s / whole) for p, s in top]
 
 
-def text_on(path: str | None, nodes: list[Node], runs: list[tuple[int, str, int]]) -> str:
-    """Text of the elements on the path, one line per block; of all elements if there is no path."""
-    within = [path is None]
-    for node in nodes[1:]:
-        within.append(within[node.parent] or node.tag in CONTAINERS and not node.drop and node.path == path)
+def text_on(paths: list[str] | None, nodes: list[Node], runs: list[tuple[int, str, int]]) -> str:
+    """Text of the elements on the paths and of what belongs to them, one line per block; of all elements without paths.
+
+    An article or main element around one of them is taken whole. Of other elements around them, what lies
+    in no container of its own, such as a heading or a lead, is taken if it is not mostly links.
+    """
+    chosen = set(paths or ())
+    roots = {k for k, n in enumerate(nodes) if n.tag in CONTAINERS and not n.drop and n.path in chosen}
+    around: set[int] = set()
+    for k in sorted(roots):
+        seen: list[int] = []
+        while k and k not in around and nodes[k].tag not in WHOLE:
+            seen.append(k)
+            k = nodes[k].parent
+        if k and nodes[k].tag in WHOLE:
+            roots.add(k)
+        else:
+            around.update(seen)
+    within, holder = [paths is None], [0]
+    for k, node in enumerate(nodes[1:], 1):
+        within.append(within[node.parent] or k in roots)
+        holder.append(k if node.tag in CONTAINERS else holder[node.parent])
+    beside = {k for k in around if nodes[k].tag in CONTAINERS and 3 * nodes[k].links <= nodes[k].chars}
     blocks: dict[int, list[str]] = {}
     for k, piece, block in runs:
-        if within[k] and not nodes[k].drop:
+        if (within[k] or holder[k] in beside) and not nodes[k].drop:
             blocks.setdefault(block, []).append(piece)
     lines = (" ".join("".join(parts).split()) for parts in blocks.values())
     return "\n".join(line for line in lines if line)
@@ -241,18 +269,23 @@ def votes(pages: DataFrame) -> DataFrame:
 
 
 def winning_paths(pages: DataFrame) -> DataFrame:
-    """host and its path with most votes; the smaller path on a tie, votes compared to six places."""
-    summed = votes(pages).groupBy("host", "path").agg(F.round(F.sum("vote"), 6).alias("vote"))
-    best = F.max_by("path", F.struct("vote", F.hash("path"), "path"))
-    return summed.groupBy("host").agg(best.alias("path"))
+    """host and its paths: that with most votes (the smaller path on a tie, votes compared to six places), and those beside it
+    that hold much of the host's text too. Containers around the best path, which share its votes, are not beside it."""
+    summed = stage(votes(pages).groupBy("host", "path").agg(F.round(F.sum("vote"), 6).alias("vote")))
+    best = F.max_by(F.struct("path", "vote"), F.struct("vote", F.hash("path"), "path")).alias("best")
+    of_host = summed.groupBy("host").agg(best, F.sum("vote").alias("whole"))
+    compared = summed.join(of_host, "host")
+    large = (F.col("vote") >= BESIDE_BEST * F.col("best.vote")) & (F.col("vote") >= OF_HOST * F.col("whole"))
+    around = F.startswith("best.path", F.concat("path", F.lit(">")))
+    return compared.where((F.col("path") == F.col("best.path")) | large & ~around).groupBy("host").agg(F.collect_list("path").alias("paths"))
 
 
 def extract_main_text(pages: DataFrame) -> DataFrame:
     """Main text of every row of ``pages`` (page_id, url, html): page_id, url, text, n_chars.
 
     Null html and pages without text give an empty text. A page without a host, or without any
-    container on its host's path, is read by its own best path; a page without containers gives
-    all its text. Repeated rows are read each on its own.
+    container on its host's paths, is read by its own best path; a page without containers gives
+    all its text. Repeated rows are read each on its own, pages of any length whole. Other columns are ignored.
     """
     winners = stage(winning_paths(pages))
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
@@ -261,12 +294,12 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for page, path in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+            for page, paths in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 nodes, runs = read_page(page or "")
                 judge(nodes, runs)
-                if path is None or not any(n.path == path and n.tag in CONTAINERS and n.score > 0 and not n.drop for n in nodes):
-                    path = next((p for p, _ in best_paths(nodes, 1)), None)
-                texts.append(text_on(path, nodes, runs))
+                if not any(n.path in (paths or ()) and n.tag in CONTAINERS and n.score > 0 and not n.drop for n in nodes):
+                    paths = [p for p, _ in best_paths(nodes, 1)] or None
+                texts.append(text_on(paths, nodes, runs))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], ["page_id", "url", "text", "n_chars"])
 
-    return rows.join(winners, "host", "left").select("page_id", "url", "html", "path").mapInArrow(read, "page_id long, url string, text string, n_chars long")
+    return rows.join(winners, "host", "left").select("page_id", "url", "html", "paths").mapInArrow(read, "page_id long, url string, text string, n_chars long")

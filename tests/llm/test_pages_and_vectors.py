@@ -12,7 +12,7 @@ import zstandard
 from pyarrow import fs
 
 from quillforge.llm.bitsliced import Block, search
-from quillforge.llm.html import best_paths, extract_main_text, judge, read_page, text_on
+from quillforge.llm.html import best_paths, extract_main_text, judge, read_page, text_on, winning_paths
 from quillforge.llm.warc import archive_pages, list_frames, read_records, write_bundles
 
 PAGES = "page_id long, url string, html string"
@@ -95,6 +95,41 @@ def test_the_host_outvotes_a_page(spark):
     assert got[9] == "Brief." and got[10].startswith("This box")
 
 
+STORY = "".join(f"<p>Sentence {k} of a long story, told at ease, with many words and commas.</p>" for k in range(30))
+SECOND = STORY.replace("Sentence", "Part")[: len(STORY) // 2 - 7] + "</p>"
+
+
+@pytest.mark.parametrize(
+    ("html", "first", "kept", "gone"),
+    [
+        # A heading and a lead beside the container that holds nearly everything.
+        (f"<article><h1>Title</h1><p>The lead.</p><div class=body>{STORY}</div></article>", "Title\nThe lead.\nSentence 0", [], []),
+        (f"<div class=wrap><h1>Title</h1><p>The lead.</p><div class=body>{STORY}</div></div>", "Title\nThe lead.\nSentence 0", [], []),
+        # Unequal siblings under no article.
+        (f"<div class=a>{SECOND}</div><div class=b>{STORY}</div><div class=c>Small box.</div>", "Part 0", ["Sentence 29"], ["Small box"]),
+        # An article in several sections, one of them short.
+        (f"<main><section class=x>{SECOND}</section><section class=y><p>Short one.</p></section><section class=z>{STORY}</section></main>", "Part 0", ["Short one.", "Sentence 29"], []),
+        # Names on paragraphs of the article, and on boxes within it.
+        (f"<article>{STORY}<p id=notice>The notice was posted.</p><div class=share>Share this</div><p class=advert>Buy now</p></article>", "Sentence 0", ["The notice was posted."], ["Share", "Buy"]),
+        # Links around the story are not part of it.
+        (f"<div class=wrap><a href=/a>One</a> <a href=/b>Two</a> <a href=/c>Three</a><div class=body>{STORY}</div></div>", "Sentence 0", [], ["One", "Three"]),
+    ],
+)
+def test_what_belongs_to_the_article(spark, html, first, kept, gone):
+    around = "<header><h2>Site</h2></header><nav><a href=/>Home</a></nav>{}<footer>Imprint</footer>"
+    rows = [(k, f"http://host.example/{k}", f"<html><body>{around.format(html)}</body></html>") for k in range(3)]
+    for r in extract_main_text(spark.createDataFrame(rows, PAGES)).collect():
+        assert r["text"].startswith(first) and "Sentence 29" in r["text"]
+        assert all(x in r["text"] for x in kept) and not any(x in r["text"] for x in [*gone, "Site", "Home", "Imprint"])
+
+
+def test_paths_that_win_are_few(spark):
+    rows = [(k, "http://host.example/", f"<body><div class='{chr(97 + k % 26)}{chr(97 + k // 26)}'>{STORY}</div></body>") for k in range(200)]
+    pages = spark.createDataFrame(rows, PAGES)
+    assert [len(r["paths"]) for r in winning_paths(pages).collect()] == [1]
+    assert {r["text"].count("\n") for r in extract_main_text(pages).collect()} == {29}
+
+
 def test_pages_of_the_tables(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     got = {r["page_id"]: r for r in extract_main_text(pages).collect()}
@@ -117,7 +152,7 @@ def test_hostile_pages_take_linear_time(hostile):
     began = time.process_time()
     nodes, runs = read_page(hostile)
     judge(nodes, runs)
-    text_on((best_paths(nodes) or [(None, 0)])[0][0], nodes, runs)
+    text_on([p for p, _ in best_paths(nodes, 1)] or None, nodes, runs)
     assert time.process_time() - began < 5
 
 
