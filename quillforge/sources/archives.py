@@ -1,15 +1,17 @@
 """Document archives (``.tar`` and ``.tar.gz``) as rows.
 
 A compressed archive can only be read front to back, by one task, as a stream.
-A plain ``.tar`` is first indexed (headers only, skipping over the contents) and
-its members are then read by as many tasks as its size calls for.
+A plain ``.tar`` is first indexed (headers only, skipping over the contents). The
+index is a plan of byte ranges, runs of neighbouring members, which are dealt to as
+many tasks as the archives' size calls for and fetched by one read each.
 """
 
 from __future__ import annotations
 
 import re
 import tarfile
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from typing import Any
 
 import pyarrow as pa
 from pyarrow import fs as pafs
@@ -24,12 +26,17 @@ from quillforge.schema.samples import DOCUMENT
 
 BYTES_PER_TASK = 128 * 1024 * 1024
 FLUSH_BYTES = 16 * 1024 * 1024
+#: A run of members is fetched at once and has at most so many bytes (or one member); other contents between two members end it beyond GAP_BYTES.
+RUN_BYTES, GAP_BYTES, RUN_MEMBERS = 64 * 1024 * 1024, 1024 * 1024, 20_000
 
 # A scheme with the slashes behind it, or the slashes a plain path begins with.
 PATH_SCHEME = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?/+"
 
 _MEMBER_SCHEMA = "batch_pos int, path string, member string, member_pos long, raw string, error string"
-_INDEX_SCHEMA = "batch_pos int, path string, member string, member_pos long, offset long, size long, error string"
+_INDEX_SCHEMA = (
+    "batch_pos int, path string, offset long, length long, "
+    "members array<struct<member: string, member_pos: long, offset: long, size: long>>, error string"
+)
 
 
 def open_location(path: str) -> tuple[pafs.FileSystem, str]:
@@ -54,7 +61,7 @@ class _Rows:
 
     def add(self, *row) -> None:
         self._rows.append(row)
-        self._bytes += 64 + sum(len(v) for v in row if isinstance(v, str))
+        self._bytes += 64 + sum(len(v) if isinstance(v, str) else 128 * len(v) for v in row if isinstance(v, (str, list)))
 
     @property
     def full(self) -> bool:
@@ -114,37 +121,74 @@ def _read_stream(path: str) -> Iterator[tuple]:
         yield path, None, None, None, f"{type(failure).__name__}: {failure}"
 
 
+def runs_of(members: Iterable[tuple[str, int, int, int]]) -> Iterator[tuple[int, int, list[tuple[str, int, int, int]]]]:
+    """(offset, length, members) of the ranges to fetch, for members (name, position, offset, size) in the order of an archive."""
+    held: list[tuple[str, int, int, int]] = []
+    for member in members:
+        _, _, offset, size = member
+        if held:
+            start, end = held[0][2], held[-1][2] + held[-1][3]
+            if offset + size - start > RUN_BYTES or offset - end > GAP_BYTES or len(held) >= RUN_MEMBERS:
+                yield start, end - start, held
+                held = []
+        held.append(member)
+    if held:
+        yield held[0][2], held[-1][2] + held[-1][3] - held[0][2], held
+
+
 def _read_index(path: str) -> Iterator[tuple]:
-    """Position and size of the document members of a plain archive."""
-    try:
-        filesystem, location = open_location(path)
-        with filesystem.open_input_file(location) as source, tarfile.open(fileobj=source, mode="r:") as tar:
-            for position, member in enumerate(tar):
-                if member.isreg() and _is_document(member.name):
-                    yield path, member.name, position, member.offset_data, member.size, None
-    except (OSError, tarfile.TarError, EOFError) as failure:
-        yield path, None, None, None, None, f"{type(failure).__name__}: {failure}"
+    """The runs of the document members of a plain archive. What was indexed before an archive breaks off is kept."""
+    broken: list[str] = []
+
+    def listed() -> Iterator[tuple[str, int, int, int]]:
+        try:
+            filesystem, location = open_location(path)
+            with filesystem.open_input_file(location) as source, tarfile.open(fileobj=source, mode="r:") as tar:
+                for position, member in enumerate(tar):
+                    if member.isreg() and _is_document(member.name):
+                        yield member.name, position, member.offset_data, member.size
+                # The reader takes a damaged header for the end, which is a block of zeros.
+                if any(source.read_at(min(tarfile.BLOCKSIZE, max(source.size() - tar.offset, 0)), tar.offset)):
+                    broken.append(f"damaged header at byte {tar.offset}")
+        except (OSError, tarfile.TarError, EOFError) as failure:
+            broken.append(f"{type(failure).__name__}: {failure}")
+
+    names = ("member", "member_pos", "offset", "size")
+    for offset, length, members in runs_of(listed()):
+        yield path, offset, length, [dict(zip(names, m)) for m in members], None
+    for error in broken:
+        yield path, None, None, None, error
+
+
+def read_run(source: Any, offset: int, length: int, members: Sequence[dict]) -> Iterator[tuple]:
+    """(member, position, text, error) of the members of a run, after one read."""
+    data = memoryview(source.read_at(length, offset))
+    for m in members:
+        start = m["offset"] - offset
+        yield m["member"], m["member_pos"], *_text_of(bytes(data[start : start + m["size"]]), m["size"])
 
 
 def _read_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Contents of indexed members, each read by its own range."""
+    """Contents of the runs of an index."""
     out = _member_rows()
     for batch in batches:
         opened: dict[str, pa.NativeFile] = {}
         for row in batch.to_pylist():
-            path = row["path"]
-            raw, error = None, row["error"]
-            if error is None:
-                try:
-                    if path not in opened:
-                        filesystem, location = open_location(path)
-                        opened[path] = filesystem.open_input_file(location)
-                    raw, error = _text_of(opened[path].read_at(row["size"], row["offset"]), row["size"])
-                except OSError as failure:
-                    error = f"{type(failure).__name__}: {failure}"
-            out.add(row["batch_pos"], path, row["member"], row["member_pos"], raw, error)
-            if out.full:
-                yield out.take()
+            batch_pos, path = row["batch_pos"], row["path"]
+            if row["error"] is not None:
+                out.add(batch_pos, path, None, None, None, row["error"])
+                continue
+            try:
+                if path not in opened:
+                    filesystem, location = open_location(path)
+                    opened[path] = filesystem.open_input_file(location)
+                for found in read_run(opened[path], row["offset"], row["length"], row["members"]):
+                    out.add(batch_pos, path, *found)
+                    if out.full:
+                        yield out.take()
+            except OSError as failure:
+                for m in row["members"]:
+                    out.add(batch_pos, path, m["member"], m["member_pos"], None, f"{type(failure).__name__}: {failure}")
         for handle in opened.values():
             handle.close()
     yield out.take()
@@ -172,8 +216,9 @@ def untar(archives: DataFrame) -> DataFrame:
         .repartition(_tasks(facts["n_gz"], 0))
         .mapInArrow(_per_path(_read_stream, _member_rows), _MEMBER_SCHEMA)
     )
-    index_names = ["batch_pos", "path", "member", "member_pos", "offset", "size", "error"]
-    index_types = [pa.int32(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
+    member = pa.struct([("member", pa.string()), ("member_pos", pa.int64()), ("offset", pa.int64()), ("size", pa.int64())])
+    index_names = ["batch_pos", "path", "offset", "length", "members", "error"]
+    index_types = [pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.list_(member), pa.string()]
     index = (
         archives.filter(~gz)
         .select("batch_pos", "path")

@@ -18,7 +18,8 @@ from quillforge.plans.publish import publish_batch
 from quillforge.schema.samples import ONE_FIELD, TWO_FIELD
 from quillforge.sinks.guard import write_if_absent, write_lines
 from quillforge.sinks.training import training_line
-from quillforge.sources.archives import read_document_batches, read_document_members
+from quillforge.sources import archives
+from quillforge.sources.archives import read_document_batches, read_document_members, read_run, runs_of
 from quillforge.sources.objects import list_document_batches, locate_output
 from quillforge.sources.replies import read_batch_outputs
 from quillforge.sources.training import read_training_batches, read_training_examples
@@ -43,6 +44,47 @@ def _document(content):
     return json.dumps({"content": content, "source": "s", "timestamp": "t", "extra": 1})
 
 
+def test_runs_of_members():
+    members = [("a", 0, 512, 100), ("b", 1, 1536, 0), ("c", 2, 2048, 50), ("far", 9, 2098 + archives.GAP_BYTES + 1, 10), ("huge", 10, 9 * 2**20, 2 * archives.RUN_BYTES), ("after", 11, 2**28, 1)]
+    runs = list(runs_of(members))
+    assert [[m[0] for m in r[2]] for r in runs] == [["a", "b", "c"], ["far"], ["huge"], ["after"]]
+    assert [r[:2] for r in runs] == [(m[0][2], m[-1][2] + m[-1][3] - m[0][2]) for m in (r[2] for r in runs)]
+    assert list(runs_of([])) == []
+
+
+def test_each_run_is_one_read(tmp_path):
+    texts = {f"document_{k}.json": "é" * (k * 37 % 900) for k in range(500)}
+    _archive(tmp_path / "many.tar", [x for name, text in texts.items() for x in ((name, text), (f"other_{name}", "skipped" * 50))])
+    rows = [r[1:] for r in archives._read_index(str(tmp_path / "many.tar"))]
+
+    class Counted:
+        reads = []
+
+        def __init__(self, data):
+            self.data = data
+
+        def read_at(self, n, at):
+            self.reads.append(n)
+            return self.data[at : at + n]
+
+    source = Counted((tmp_path / "many.tar").read_bytes())
+    found = [x for offset, length, members, error in rows for x in read_run(source, offset, length, members)]
+    assert {m: t for m, _, t, e in found if e is None} == texts
+    assert len(source.reads) == len(rows) == 1
+    cut = Counted(source.data[: rows[0][0] + rows[0][1] - 5])
+    assert [e is not None for *_, e in read_run(cut, *rows[0][:3])] == [False] * 499 + [len(texts["document_499.json"]) > 0]
+
+
+def test_a_broken_archive_keeps_what_it_has(spark, tmp_path):
+    _archive(tmp_path / "b.tar", [(f"document_{k}.json", _document(str(k))) for k in range(3)])
+    data = (tmp_path / "b.tar").read_bytes()
+    at = data.index(b"document_2.json")
+    (tmp_path / "b.tar").write_bytes(data[:at] + b"#" * 600)
+    members = read_document_members(spark, [str(tmp_path / "b.tar")])
+    assert sorted(r["content"] for r in members.where("is_valid").collect()) == ["0", "1"]
+    assert members.where("archive_error is not null").count() == 1
+
+
 def test_archives(spark, tmp_path):
     _archive(tmp_path / "one.tar.gz", [("a/document_1.json", _document("é1")), ("b/document_1.json", _document("later")), ("x.json", "{}")])
     _archive(tmp_path / "two.tar", [("document_2.json", _document("2")), ("document_3.json", '{"content": 5}'), ("document_4.json", "no")])
