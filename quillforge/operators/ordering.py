@@ -103,6 +103,14 @@ def union_batches(frames: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
+def as_batches(df: DataFrame, batch: str, names: Sequence[str]) -> DataFrame:
+    """The rows of the named batches of one table, in one scan, with their batch's position in ``names`` as ``batch_pos``."""
+    if not names:
+        raise ValueError("no batches given")
+    place = F.array_position(F.array(*[F.lit(n) for n in names]), F.col(batch)).cast("int") - 1
+    return df.withColumn("batch_pos", place).where(F.col("batch_pos") >= 0)
+
+
 def first_match(listing: DataFrame, condition: Column, key: str = "key") -> DataFrame:
     """One row with the first key, in listing order, that satisfies the condition (null if none does)."""
     return listing.filter(condition).agg(F.min(key).alias(key))

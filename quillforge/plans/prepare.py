@@ -14,11 +14,10 @@ from quillforge.functions.payload import TOO_LARGE, beyond_parser, strict_object
 from quillforge.functions.text import fence
 from quillforge.functions.tokens import TokenizerFactory, token_count
 from quillforge.functions.validation import validate
-from quillforge.operators.audits import retention
 from quillforge.operators.ordering import shuffle_key
 from quillforge.schema.kinds import PayloadSchema
 from quillforge.schema.samples import CHAT_SAMPLE
-from quillforge.session import stage
+from quillforge.session import stage_counted
 from quillforge.sinks.training import training_line, write_prepared
 
 logger = logging.getLogger(__name__)
@@ -108,8 +107,8 @@ def prepare_training_data(
     order in the files counts. Lengths are checked only if both ``base_model`` and
     ``max_seq_length`` are given, on what ``render`` makes of the messages: the
     chat template of the model. One pass parses,
-    validates and counts tokens, and writes a stage table; the counts and the
-    final sort read that.
+    validates and counts tokens, and writes a stage table; the same job observes
+    how many samples are valid and kept. The report and the final sort read the table.
     """
     limit = bool(base_model) and bool(max_seq_length)
     checked = check_training_lines(lines, schema, system_prompt)
@@ -123,24 +122,27 @@ def prepare_training_data(
         if shuffle
         else F.concat_ws("-", F.lpad(F.col("batch_pos").cast("string"), 10, "0"), place)
     )
-    staged = stage(
-        measured.select(
-            "batch_name",
-            "line_id",
-            "reject_reason",
-            "n_tokens",
-            fits.alias("fits"),
-            rank.alias("rank"),
-            F.when(fits, training_line(F.col("messages"))).alias("value"),
-        )
+    selected = measured.select(
+        "batch_name",
+        "line_id",
+        "reject_reason",
+        "n_tokens",
+        fits.alias("fits"),
+        rank.alias("rank"),
+        F.when(fits, training_line(F.col("messages"))).alias("value"),
     )
-    counts = retention(staged.filter(F.col("reject_reason").isNull()), F.col("fits")).first()
-    if counts["n_total"] == 0:
+    staged, counts = stage_counted(
+        selected,
+        n_kept=F.count_if(F.col("reject_reason").isNull() & F.coalesce("fits", F.lit(False))),
+        n_valid=F.count_if(F.col("reject_reason").isNull()),
+    )
+    n_kept, n_valid = counts["n_kept"], counts["n_valid"]
+    if n_valid == 0:
         raise ValueError("no valid training samples found")
-    if counts["too_few_kept"]:
+    if too_few := 2 * n_kept < n_valid:
         logger.warning("fewer than half of the samples fit max_seq_length, consider raising it")
     report = staged.groupBy("batch_name", "reject_reason").agg(
         F.count("*").alias("n"), F.count_if("fits").alias("n_kept")
     )
     table = staged.filter("fits").select("batch_name", "line_id", "n_tokens", "rank", "value")
-    return Prepared(table, report, counts["n_kept"], counts["n_total"], counts["too_few_kept"])
+    return Prepared(table, report, n_kept, n_valid, too_few)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from quillforge.functions.chat import chat_sample, dump_json
 from quillforge.schema.kinds import PayloadSchema
-from quillforge.session import stage
+from quillforge.session import stage_counted
 from quillforge.sinks.guard import write_if_absent
 from quillforge.sinks.training import export_sample_set, manifest_row, write_manifest, write_training_jsonl
 
@@ -49,10 +49,9 @@ def publish_batch(
     spark = examples.sparkSession
     keep = [c for c in ("output_key", "file_name") if c in examples.columns]
     name = F.coalesce(*[F.col(c) for c in keep]) if keep else F.lit(None).cast("string")
-    valid = stage(
-        examples.filter("is_valid").select(name.alias("output_key"), "content", "raw_json", "output")
-    )
-    count = valid.count()
+    rows = examples.filter("is_valid").select(name.alias("output_key"), "content", "raw_json", "output")
+    valid, counts = stage_counted(rows, n=F.count("*"))
+    count = counts["n"]
     if count == 0:
         raise ValueError("no valid samples found")
     now = now or datetime.now()

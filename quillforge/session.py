@@ -8,7 +8,7 @@ import tempfile
 import uuid
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 # Runtime-settable settings. Duplicate JSON keys must resolve to the last one
 # (as in Python's json module), timestamps are compared in UTC, and AQE handles
@@ -76,3 +76,13 @@ def stage(df: DataFrame) -> DataFrame:
     path = f"{stage_folder(df.sparkSession)}/quillforge-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stage_counted(df: DataFrame, **counts: Column) -> tuple[DataFrame, dict[str, int]]:
+    """``stage(df)`` and aggregates of its rows, observed by the job that writes them: the table is not read again.
+
+    Only tasks that end count, so attempts that are lost change nothing.
+    """
+    seen = Observation()
+    staged = stage(df.observe(seen, *[c.alias(name) for name, c in counts.items()]))
+    return staged, seen.get

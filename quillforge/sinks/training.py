@@ -64,6 +64,30 @@ def write_manifest(row: DataFrame, batch_path: str, table_path: str | None = Non
         row.coalesce(1).write.mode("append").parquet(table_path)
 
 
+def manifest_rows(
+    counts: DataFrame, schema: str, schema_version: Column | str, short_description: Column, created_at: Column | None = None, description: Column | None = None
+) -> DataFrame:
+    """Manifest rows of many batches at once, from one row a batch with ``num_samples``; ``batch_name`` is kept in front."""
+    return counts.select(
+        "batch_name",
+        F.lit(schema).alias("schema"),
+        F.lit(schema_version).alias("schema_version"),
+        short_description.alias("short_description"),
+        (short_description if description is None else F.coalesce(description, short_description)).alias("description"),
+        F.col("num_samples").cast("bigint").alias("num_samples"),
+        (F.current_timestamp() if created_at is None else created_at).alias("created_at"),
+    )
+
+
+def write_manifests(rows: DataFrame, folder: str, table_path: str | None = None) -> None:
+    """Manifests of many batches, in one job: ``metadata.yaml`` folders below ``folder``, by batch_name, and rows of the manifest table."""
+    columns = [c for c in rows.columns if c != "batch_name"]
+    one_line = F.to_json(F.struct(*columns)).alias("value")
+    rows.select(one_line, "batch_name").write.mode("overwrite").partitionBy("batch_name").text(f"{folder}/metadata.yaml")
+    if table_path is not None:
+        rows.select(*columns).write.mode("append").parquet(table_path)
+
+
 def write_prepared(df: DataFrame, path: str, rank: str = "rank", line: str = "value") -> None:
     """Lines in the order of a persisted rank column: part files, and lines in them, follow the rank.
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quillforge.functions import text as X
 from quillforge.operators import audits
+from quillforge.sinks.training import manifest_rows
 from quillforge.workloads.inputs import documents
 from quillforge.workloads.registry import query, table
 
@@ -56,14 +57,9 @@ def single_file(spark: SparkSession, folder: str) -> DataFrame:
 def batch_manifest(spark: SparkSession, folder: str) -> DataFrame:
     """Manifest facts of every batch, counted from its lines."""
     nonblank = F.col("content").rlike(r"(?U)[^\s\x1c-\x1f]")
-    counts = documents(spark, folder).groupBy("source").agg(F.count_if(nonblank).alias("num_samples"))
-    return counts.select(
-        F.lit("notes").alias("schema"),
-        X.version_token(F.lit("1.0.0.7")).alias("schema_version"),
-        F.col("source").alias("short_description"),
-        F.concat(F.lit("batch "), "source").alias("description"),
-        "num_samples",
-    )
+    counts = documents(spark, folder).groupBy(F.col("source").alias("batch_name")).agg(F.count_if(nonblank).alias("num_samples"))
+    version, description = X.version_token(F.lit("1.0.0.7")), F.concat(F.lit("batch "), "batch_name")
+    return manifest_rows(counts, "notes", version, F.col("batch_name"), description=description).drop("batch_name", "created_at")
 
 
 @query("sample_count", "SELECT count(*) FILTER (WHERE trim(text, E' \\n\\t\\r') <> '') AS num_samples FROM documents")

@@ -9,6 +9,7 @@ from quillforge.functions import payload as P
 from quillforge.functions.validation import validate
 from quillforge.operators.audits import outcome_counts, success_and_failure
 from quillforge.operators.routing import VALID, extract_replies, to_quarantine, to_samples
+from quillforge.schema.kinds import Record
 from quillforge.schema.samples import ENTITY, EVENT
 from quillforge.workloads.inputs import CHECKED_SQL, MEMBERS, PAYLOADS_SQL, REPLIES_SQL, documents, replies
 from quillforge.workloads.registry import query, spread
@@ -143,6 +144,18 @@ def quarantine(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    "unknown_members",
+    f"""WITH {PAYLOADS_SQL}, keys AS (SELECT event_id, unnest(json_keys(payload)) AS key FROM payloads WHERE payload IS NOT NULL)
+    SELECT event_id, key AS path FROM keys WHERE key NOT IN ('event_id', 'event_type', 'value', 'k')""",
+)
+def unknown_members(spark: SparkSession, folder: str) -> DataFrame:
+    """Members of the payloads that a schema which forbids unknown ones reports."""
+    found = replies(spark, folder).select("event_id", P.payload(F.col("reply"))["object"].alias("payload")).where("payload is not null")
+    checked = validate(found, "payload", Record(*EVENT.root.fields, forbid_unknown=True))
+    return checked.select("event_id", F.explode("errors").alias("e")).where("e.code = 'unknown'").select("event_id", "e.path")
+
+
 # One payload per document: an entity per line of its text, some of them faulty.
 def _entity_payloads(spark: SparkSession, folder: str) -> DataFrame:
     def entity(line, i):

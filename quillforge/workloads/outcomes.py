@@ -16,11 +16,12 @@ from quillforge.functions.validation import validate
 from quillforge.operators.audits import require_non_empty
 from quillforge.operators.inference import RateLimited, Retry, infer, with_retry
 from quillforge.plans.prepare import prepare_training_data
+from quillforge.schema.kinds import Choice, Field, Record, Text
 from quillforge.schema.registry import get_schema, self_check
-from quillforge.schema.samples import REPORT, TWO_FIELD
+from quillforge.schema.samples import REPORT, ROLES, TWO_FIELD
 from quillforge.session import stage_folder
 from quillforge.sinks.guard import write_if_absent, write_lines
-from quillforge.sinks.training import export_sample_set, manifest_row, training_line, write_manifest, write_prepared
+from quillforge.sinks.training import MANIFEST_COLUMNS, export_sample_set, manifest_rows, training_line, write_manifests, write_prepared
 from quillforge.sources.training import parse_training_examples, read_training_batches, read_training_examples
 from quillforge.workloads.inputs import documents
 from quillforge.workloads.registry import query, table
@@ -88,16 +89,15 @@ def exported_examples(spark: SparkSession, folder: str) -> DataFrame:
     return back.groupBy(F.md5("content").alias("content_key"), "raw_json").agg(F.count("*").alias("n"))
 
 
-@query("example_files", "SELECT 'src' || (doc_id % 7) AS file_name, count(*) AS n_chars FROM documents GROUP BY ALL")
+@query("example_files", "SELECT source AS file_name, count(*) AS n_chars FROM documents GROUP BY ALL")
 def example_files(spark: SparkSession, folder: str) -> DataFrame:
-    """One example file per group of documents, read as files; files in sub-folders are left out."""
-    grouped = table(spark, folder, "documents").groupBy(F.concat(F.lit("src"), F.col("doc_id") % 7).alias("file_name")).agg(F.count("*").alias("n"))
-    example = dump_json(F.struct(F.col("file_name").alias("content"), F.struct(F.lit("x").alias("foo"), F.col("n").alias("bar")).alias("output")))
+    """One example file per source of the documents, read as files; files in sub-folders are left out."""
+    grouped = table(spark, folder, "documents").groupBy("source").agg(F.count("*").alias("n"))
+    example = grouped.select(F.col("source").alias("content"), F.struct(F.lit("x").alias("foo"), F.col("n").alias("bar")).alias("output"))
     place = _place(spark, "examples")
-    grouped.select(example.alias("value")).repartition(7, "value").write.option("compression", "none").text(place)
-    spark.range(1).select(F.lit("{}").alias("value")).write.text(f"{place}/invalid")
-    whole = spark.read.option("pathGlobFilter", "*.txt").text(place)
-    files = parse_training_examples(whole, TWO_FIELD)
+    example.write.option("compression", "none").option("maxRecordsPerFile", 1).json(place)
+    example.write.option("compression", "none").json(f"{place}/invalid")
+    files = read_training_examples(spark, place, TWO_FIELD)
     return files.filter("is_valid").select(F.col("content").alias("file_name"), F.col("output.bar").alias("n_chars"))
 
 
@@ -121,17 +121,34 @@ def guarded_writes(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "written_manifests",
-    """SELECT 'two_field' AS schema, '1_0_0' AS schema_version, source AS short_description, count(*) AS num_samples
-    FROM documents WHERE source IN ('src0', 'src1', 'src2') GROUP BY source""",
+    """SELECT 'two_field' AS schema, '1_0_0' AS schema_version, source AS short_description, count(*) AS num_samples, 1 AS n_files
+    FROM documents GROUP BY source""",
 )
 def written_manifests(spark: SparkSession, folder: str) -> DataFrame:
-    """Manifests of three batches, appended to the manifest table and read back."""
+    """Manifests of all batches, written at once, and read back from the manifest table and the batches' own files."""
     place = _place(spark, "manifests")
-    counts = table(spark, folder, "documents").filter("source in ('src0', 'src1', 'src2')").groupBy("source").count().collect()
-    for row in counts:
-        one = manifest_row(spark, TWO_FIELD.name, TWO_FIELD.version_token, row["source"], row["count"], None, datetime(2024, 1, 1))
-        write_manifest(one, f"{place}/{row['source']}", f"{place}-table")
-    return spark.read.parquet(f"{place}-table").select("schema", "schema_version", "short_description", F.col("num_samples").cast("bigint").alias("num_samples"))
+    counts = table(spark, folder, "documents").groupBy(F.col("source").alias("batch_name")).agg(F.count("*").alias("num_samples"))
+    rows = manifest_rows(counts, TWO_FIELD.name, TWO_FIELD.version_token, F.col("batch_name"), F.lit(datetime(2024, 1, 1)))
+    write_manifests(rows, place, f"{place}-table")
+    own = spark.read.text(f"{place}/metadata.yaml").select("batch_name", F.from_json("value", MANIFEST_COLUMNS).alias("m"))
+    files = own.where("m.short_description = batch_name").groupBy("batch_name").agg(F.count("*").cast("int").alias("n_files"))
+    listed = spark.read.parquet(f"{place}-table").join(files.withColumnRenamed("batch_name", "short_description"), "short_description", "left")
+    return listed.select("schema", "schema_version", "short_description", F.col("num_samples").cast("bigint").alias("num_samples"), "n_files")
+
+
+@query(
+    "folded_roles",
+    """SELECT conv_id, turn, CASE WHEN turn % 7 <> 6 THEN role END AS role, CASE WHEN turn % 7 = 6 THEN 'role|domain' ELSE '' END AS errors
+    FROM conversations""",
+)
+def folded_roles(spark: SparkSession, folder: str) -> DataFrame:
+    """Roles of all turns, spelt in changing case, by a choice that folds it; every seventh is no role."""
+    role = F.when(F.col("turn") % 7 == 6, F.concat("role", F.lit("s"))).when(F.col("turn") % 2 == 0, F.upper("role")).otherwise(F.initcap("role"))
+    text = F.to_json(F.struct(role.alias("role"), F.col("text").alias("content")))
+    parsed = table(spark, folder, "conversations").select("conv_id", "turn", strict_object(text).alias("payload"))
+    checked = validate(parsed, "payload", Record(Field("role", Choice(*ROLES, ignore_case=True)), Field("content", Text())))
+    listed = F.array_join(F.transform("errors", lambda e: F.concat(e["path"], F.lit("|"), e["code"])), ",")
+    return checked.select("conv_id", "turn", F.col("output.role").alias("role"), listed.alias("errors"))
 
 
 @query(

@@ -99,6 +99,17 @@ def first_per_key(spark: SparkSession, folder: str) -> DataFrame:
     return dedupe.first_per_key(_hashed(spark, folder), ["content_key"], ["doc_id"])
 
 
+@query(
+    "first_document_of_text",
+    """SELECT min(doc_id) AS doc_id, md5(text) AS content_key, length(text) AS chars FROM documents WHERE text IS NOT NULL GROUP BY text
+    UNION ALL SELECT doc_id, NULL, NULL FROM documents WHERE text IS NULL""",
+)
+def first_document_of_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole documents, one per text: rows that lose are told by their address in the files, and texts are not sorted."""
+    kept = dedupe.one_per_key_of_files(table(spark, folder, "documents"), [F.md5("text")], ["doc_id"])
+    return kept.select("doc_id", F.md5("text").alias("content_key"), F.length("text").cast("bigint").alias("chars"))
+
+
 @query(
     "last_per_key",
     """SELECT md5(text) AS content_key, doc_id, source, n_chars FROM documents

@@ -169,14 +169,15 @@ def retention(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "mixture_shuffled",
-    """SELECT doc_id, source, CASE source WHEN 'src3' THEN 0 ELSE 1 END AS batch_pos,
-      md5('42|' || doc_id) AS rank FROM documents WHERE source IN ('src3', 'src1') ORDER BY rank""",
+    """SELECT doc_id, source, CAST(dense_rank() OVER (ORDER BY source) - 1 AS INTEGER) AS batch_pos,
+      md5('42|' || doc_id) AS rank FROM documents ORDER BY rank""",
 )
 def mixture_shuffled(spark: SparkSession, folder: str) -> DataFrame:
-    """Two batches put together and shuffled."""
+    """All batches put together, in the order of their names, and shuffled."""
     docs = documents(spark, folder).select("doc_id", "source")
-    parts = [docs.filter(F.col("source") == name) for name in ("src3", "src1")]
-    mixed = ordering.shuffled(ordering.union_batches(parts), SEED, "doc_id")
+    # The list of batches is what a user passes in.
+    names = sorted(r["source"] for r in docs.select("source").distinct().collect())
+    mixed = ordering.shuffled(ordering.as_batches(docs, "source", names), SEED, "doc_id")
     return mixed.withColumn("rank", ordering.shuffle_key(SEED, F.col("doc_id")))
 
 
