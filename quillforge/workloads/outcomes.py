@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +22,7 @@ from quillforge.schema.kinds import Choice, Field, Record, Text
 from quillforge.schema.registry import get_schema, self_check
 from quillforge.schema.samples import REPORT, ROLES, TWO_FIELD
 from quillforge.session import stage_folder
+from quillforge.sinks.commit import committed_path, latest_version, write_committed
 from quillforge.sinks.guard import write_if_absent, write_lines
 from quillforge.sinks.training import MANIFEST_COLUMNS, export_sample_set, manifest_rows, training_line, write_manifests, write_prepared
 from quillforge.sources.training import parse_training_examples, read_training_batches, read_training_examples
@@ -119,6 +122,29 @@ def guarded_writes(spark: SparkSession, folder: str) -> DataFrame:
     return out
 
 
+@query(
+    "committed_writes",
+    """SELECT 0 AS version, source, count(*) AS n FROM documents GROUP BY source
+    UNION ALL SELECT 1, source, count(*) FROM documents WHERE lang = 'en' GROUP BY source""",
+)
+def committed_writes(spark: SparkSession, folder: str) -> DataFrame:
+    """Versions written with a commit marker: a second writer of a version changes nothing, a failed one leaves nothing to read."""
+    docs = table(spark, folder, "documents").select("doc_id", "source", "lang")
+    place = _place(spark, "commits")
+    parquet = lambda df, path: df.write.parquet(path)
+
+    def broken(df: DataFrame, path: str) -> None:
+        parquet(df, path)
+        raise OSError("lost before the commit")
+
+    with contextlib.suppress(OSError):
+        write_committed(docs.limit(1), place, broken)
+    for version, rows in ((0, docs), (0, docs.limit(1)), (1, docs.where("lang = 'en'")), (1, docs)):
+        write_committed(rows, place, parquet, version)
+    read = [spark.read.parquet(committed_path(spark, place, v)).withColumn("version", F.lit(v)) for v in range(latest_version(spark, place) + 1)]
+    return reduce(DataFrame.unionByName, read).groupBy("version", "source").agg(F.count("*").alias("n"))
+
+
 @query(
     "written_manifests",
     """SELECT 'two_field' AS schema, '1_0_0' AS schema_version, source AS short_description, count(*) AS num_samples, 1 AS n_files
