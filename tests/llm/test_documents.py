@@ -290,21 +290,32 @@ def test_proximity(spark):
 
 
 def unigram(vocabulary):
-    pieces = list(vocabulary.pieces)
-    made = Tokenizer(models.Unigram(pieces, unk_id=len(pieces) - 1, byte_fallback=False))
-    made.pre_tokenizer = pre_tokenizers.Metaspace(prepend_scheme="always", split=True)
+    pieces = [*vocabulary.pieces, *((f"<0x{b:02X}>", -1000.0) for b in range(256 * vocabulary.bytes))]
+    made = Tokenizer(models.Unigram(pieces, unk_id=len(vocabulary.pieces) - 1, byte_fallback=vocabulary.bytes))
+    made.pre_tokenizer = pre_tokenizers.Metaspace(prepend_scheme="always", split=False)
     return made
 
 
+@pytest.mark.parametrize("bytes_", [False, True])
 @pytest.mark.parametrize("seed", range(60))
-def test_counts_and_ties_are_the_tokenizers(seed):
+def test_counts_and_ties_are_the_tokenizers(seed, bytes_):
+    """Whole texts: pieces of several spaces, spaces in a row, unknown signs as one token or as their bytes."""
     r = random.Random(seed)
-    pieces = sorted({"".join(r.choice("ab▁") for _ in range(r.randint(1, 4))) for _ in range(r.randint(1, 12))})
-    vocabulary = Vocabulary((*((p, -float(r.randint(1, 4))) for p in pieces), ("<?>", -1.0)), "<?>")
+    inner = seed % 2 * ["a▁b", "b▁"]
+    pieces = sorted({"".join(r.choice("ab") for _ in range(r.randint(1, 4))) for _ in range(r.randint(1, 12))} | {"▁", "▁▁", "▁a", "▁▁b", *inner})
+    # The cost of unknown signs follows from the worst piece, so the bytes' pieces must not be worse.
+    vocabulary = Vocabulary((*((p, -float(r.randint(1, 4))) for p in pieces), ("<?>", -1.0 if not bytes_ else -1000.0)), "<?>", bytes_)
     counts, tokenizer = Counts(vocabulary), unigram(vocabulary)
+    assert counts.by_words == (not inner)
     for _ in range(60):
-        text = "".join(r.choice("aabbc ▁") for _ in range(r.randint(0, 14)))
-        assert counts.tokens(text) == len(tokenizer.encode(text, add_special_tokens=False).ids)
+        text = "".join(r.choice("aabbcé日   ▁") for _ in range(r.randint(0, 14)))
+        assert counts.tokens(text) == len(tokenizer.encode(text, add_special_tokens=False).ids), text
+
+
+def test_bytes_and_runs_of_spaces_of_the_public_vocabulary():
+    counts = counts_of(PIECES)
+    assert counts.tokens("𒀀" * 100) == 1 + 400 and counts.tokens("\n") == 2
+    assert counts.tokens("a" + " " * 9 + "b") < counts.tokens("a b") + 8
 
 
 def test_counts_of_documents(spark, awkward):
