@@ -8,14 +8,16 @@ units settle by the smallest document that has them, and only different units of
 anchor need comparing. There each unit is streamed, in the order of documents,
 through the automaton of those before it; where its matching statistics reach the
 window's length, the window occurs earlier. An anchor with very many different units
-(a frequent phrase in ever new company) is settled by hashes of its windows instead,
-which is as exact and has no group at all.
+(a frequent phrase in ever new company) is cut into finer shards by further content
+anchors, the several least shingles of a window; equal units settle again, and so on.
+At last a shard is one window, which has nothing left to compare.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -23,14 +25,18 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillforge.llm.wordhash import mix, powers, run_hashes, word_hashes, word_spans
+from quillforge.llm.wordhash import BASE, mix, powers, run_hashes, word_hashes, word_spans
 from quillforge.operators.bloom import divided, key_filter, possible, unused
 from quillforge.session import stage
 
 #: Words of an anchor.
 ANCHOR = 8
-#: An anchor with more units, or a unit of more words, goes by window hashes.
+#: An anchor with more units, or a unit of more words, is cut into finer shards.
 SHARD_UNITS, UNIT_WORDS = 1000, 2048
+#: How many least shingles make the anchors, step by step; then whole windows do.
+DEPTHS = (1, 4, 16)
+#: Windows whose shingles are sorted at once.
+AT_ONCE = 4096
 
 
 def sliding_min(x: np.ndarray, n: int) -> np.ndarray:
@@ -41,18 +47,39 @@ def sliding_min(x: np.ndarray, n: int) -> np.ndarray:
     return x if have == n else np.minimum(x[: len(x) - (n - have)], x[n - have :])
 
 
-def units(words: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor, first window, windows, hash of the words) of every run of windows with one anchor."""
-    if len(words) < window:
+def runs_of(anchors: np.ndarray, words: np.ndarray, window: int, at: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(anchor, first window, windows, hash of the words) of the runs of equal anchors, of the windows from ``at`` on."""
+    if not len(anchors):
         return (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))
-    k = min(ANCHOR, window)
-    anchors = sliding_min(run_hashes(words, k), window - k + 1)
     first = np.concatenate([[0], np.flatnonzero(anchors[1:] != anchors[:-1]) + 1])
     n = np.diff(np.append(first, len(anchors)))
+    own, first = anchors[first], first + at
     up, down = powers(len(words) + 1)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * up[: len(words)])])
-    content = mix((sums[first + n - 1 + window] - sums[first]) * down[first] + n.astype(np.uint64))
-    return anchors[first], first, n, content
+    return own, first, n, mix((sums[first + n - 1 + window] - sums[first]) * down[first] + n.astype(np.uint64))
+
+
+def units(words: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(anchor, first window, windows, hash of the words) of every run of windows with one anchor."""
+    if len(words) < window:
+        return runs_of(np.zeros(0, np.uint64), words, window)
+    k = min(ANCHOR, window)
+    return runs_of(sliding_min(run_hashes(words, k), window - k + 1), words, window)
+
+
+def finer_units(words: np.ndarray, window: int, start: int, n: int, depth: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The unit of ``n`` windows from ``start`` on cut by anchors of ``depth`` least shingles, or by whole windows, which are units each."""
+    k = min(ANCHOR, window)
+    if depth is None or depth > window - k:
+        own, first, size, _ = runs_of(run_hashes(words[start : start + n - 1 + window], window), words, window, start)
+        return own, first, size, own
+    shingles = np.lib.stride_tricks.sliding_window_view(run_hashes(words[start : start + n - 1 + window], k), window - k + 1)
+    anchors = np.zeros(n, np.uint64)
+    for at in range(0, n, AT_ONCE):
+        least = np.sort(np.partition(shingles[at : at + AT_ONCE], depth - 1, axis=1)[:, :depth], axis=1)
+        for column in least.T:
+            anchors[at : at + AT_ONCE] = mix(anchors[at : at + AT_ONCE] * BASE + column)
+    return runs_of(anchors, words, window, start)
 
 
 def encoded(text: str | None) -> bytes:
@@ -155,30 +182,30 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
 
 
-def unit_words(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
-    """The wanted units (doc_id, text_hash, and per document a list of anchor, start, n, by_hash) with their words, or the hashes of their windows."""
+def unit_words(docs: DataFrame, wanted: DataFrame, window: int, depth: int | None) -> DataFrame:
+    """The wanted units (doc_id, text_hash, and per document a list of anchor, start, n, finer) with their words, or cut into finer ones."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
             for doc_id, text_hash, text, own in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = word_hashes(encoded(text))
-                short, whole = words.astype("<u4"), None
+                short = words.astype("<u4")
                 for u in own:
-                    start, end = u["start"], u["start"] + u["n"]
-                    if u["by_hash"]:
-                        whole = run_hashes(words, window) if whole is None else whole
-                        rows.append((doc_id, text_hash, u["anchor"], start, None, whole[start:end].view(np.int64)))
+                    start, n = u["start"], u["n"]
+                    if u["finer"]:
+                        parts = zip(*(x.view(np.int64).tolist() for x in finer_units(words, window, start, n, depth)), strict=True)
+                        rows += ((doc_id, text_hash, *part, None) for part in parts)
                     else:
-                        rows.append((doc_id, text_hash, u["anchor"], start, short[start : end - 1 + window].tobytes(), None))
+                        rows.append((doc_id, text_hash, u["anchor"], start, n, None, short[start : start + n - 1 + window].tobytes()))
             columns = zip(*rows, strict=True) if rows else [[]] * len(schema)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
-    schema = pa.schema({"doc_id": pa.int64(), "text_hash": pa.int64(), "anchor": pa.int64(), "start": pa.int32(), "words": pa.binary(), "hashes": pa.list_(pa.int64())})
+    schema = pa.schema({"doc_id": pa.int64(), "text_hash": pa.int64(), "anchor": pa.int64(), "start": pa.int32(), "n": pa.int32(), "unit": pa.int64(), "words": pa.binary()})
     # Only texts that have wanted units are shuffled.
     texts = possible(keyed(docs), key_filter(wanted, "doc_id", "text_hash"), "doc_id", "text_hash")
     joined = texts.join(wanted, ["doc_id", "text_hash"]).select("doc_id", "text_hash", "text", "own")
-    return joined.mapInArrow(read, "doc_id long, text_hash long, anchor long, start int, words binary, hashes array<long>")
+    return joined.mapInArrow(read, "doc_id long, text_hash long, anchor long, start int, n int, unit long, words binary")
 
 
 def streamed(shards: DataFrame, window: int) -> DataFrame:
@@ -218,28 +245,34 @@ def streamed(shards: DataFrame, window: int) -> DataFrame:
     return shards.select("anchor", "doc_id", "text_hash", "start", "words").mapInArrow(read, "doc_id long, text_hash long, start int, n int")
 
 
-def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
-    """doc_id, text_hash, start, n: runs of windows whose words a document with a smaller id has too."""
-    found = stage(list_units(docs, window))
+def settled(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of units (doc_id, text_hash, anchor, start, n, unit): those that an equal one of a smaller document settles, and, where an
+    anchor has different units, each in its first document, with the number of units."""
     of_unit = found.groupBy("anchor", "unit").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     shared = of_unit.groupBy("anchor").agg(F.count("*").alias("units"), F.min("first").alias("first"), F.max("last").alias("last"))
     shared = stage(shared.where("first < last").select("anchor", "units"))
     rows = stage(found.join(shared, "anchor").where("doc_id is not null"))
     rows = stage(rows.join(rows.groupBy("anchor", "unit").agg(F.min("doc_id").alias("first")), ["anchor", "unit"]))
-    whole = rows.where("doc_id > first").select("doc_id", "text_hash", "start", "n")
-    # Each unit in its first document alone, where an anchor has several.
-    sole = rows.where("units > 1 and doc_id = first")
-    # Long units and the rest of their anchor must meet, so either way is taken by the whole anchor.
-    long_units = sole.where(F.col("n") > UNIT_WORDS).select("anchor").distinct().withColumn("long", F.lit(True))
-    sole = sole.join(long_units, "anchor", "left").withColumn("by_hash", (F.col("units") > SHARD_UNITS) | F.coalesce("long", F.lit(False)))
-    wanted = stage(sole.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("anchor", "start", "n", "by_hash")).alias("own")))
-    compared = stage(unit_words(docs, wanted, window).dropDuplicates(["anchor", "doc_id", "text_hash", "start"]))
-    shards = compared.where("words is not null").repartition("anchor").sortWithinPartitions("anchor", "doc_id")
-    by_automaton = streamed(shards, window)
-    windows = compared.where("hashes is not null").select("doc_id", "text_hash", "start", F.posexplode("hashes").alias("k", "h"))
-    earliest = windows.groupBy("h").agg(F.min("doc_id").alias("first"))
-    by_window = windows.join(earliest, "h").where("doc_id > first").select("doc_id", "text_hash", (F.col("start") + F.col("k")).alias("start"), F.lit(1).alias("n"))
-    return whole.unionByName(by_automaton).unionByName(by_window)
+    return rows.where("doc_id > first").select("doc_id", "text_hash", "start", "n"), rows.where("units > 1 and doc_id = first")
+
+
+def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
+    """doc_id, text_hash, start, n: runs of windows whose words a document with a smaller id has too."""
+    found, out = stage(list_units(docs, window)), []
+    for depth in (*DEPTHS[1:], None, None):
+        whole, sole = settled(found)
+        out.append(whole)
+        # Long units and the rest of their anchor must meet, so either way is taken by the whole anchor.
+        long_units = sole.where(F.col("n") > UNIT_WORDS).select("anchor").distinct().withColumn("long", F.lit(True))
+        sole = sole.join(long_units, "anchor", "left").withColumn("finer", (F.col("units") > SHARD_UNITS) | F.coalesce("long", F.lit(False)))
+        wanted = stage(sole.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("anchor", "start", "n", "finer")).alias("own")))
+        compared = stage(unit_words(docs, wanted, window, depth).dropDuplicates(["anchor", "doc_id", "text_hash", "start"]))
+        shards = compared.where("words is not null").repartition("anchor").sortWithinPartitions("anchor", "doc_id")
+        out.append(streamed(shards, window))
+        found = compared.where("words is null").drop("words")
+        if found.isEmpty():
+            break
+    return reduce(DataFrame.unionByName, out)
 
 
 def kept_words(text: str | None, own: list[dict] | None, window: int) -> tuple[int, int, bytes]:
