@@ -14,8 +14,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Words and pre-tokens that are remembered (some 0.2 GB), characters of the longest word, and bytes of texts that are split at once.
-WORDS, PIECES, LONGEST, TOGETHER = 800_000, 800_000, 64, 1 << 22
+#: Words and pre-tokens that are remembered (some 0.15 GB), characters of the longest word, and bytes of texts that are split at once.
+WORDS, PIECES, LONGEST, TOGETHER = 600_000, 400_000, 64, 1 << 21
 #: Stands between pre-tokens; it is in none of them.
 BETWEEN = "￿"
 
@@ -88,6 +88,8 @@ class WordTable:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core a task
         from tokenizers import Tokenizer
 
+        # What a worker's earlier tasks of other stages left with Arrow is not needed any more.
+        pa.default_memory_pool().release_unused()
         self.tokenizer, self.decompose = Tokenizer.from_file(path), decompose
         self.model = BytePieces(self.tokenizer)
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
