@@ -29,6 +29,8 @@ SKIPPABLE, SEEK_TABLE, SEEK_FOOTER = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 ENTRY = np.dtype([("packed", "<u4"), ("size", "<u4")])
 #: One record: identifier, frame, offset and length within the unpacked frame.
 RECORD = np.dtype([("id", "<i8"), ("null", "u1"), ("frame", "<u4"), ("offset", "<u4"), ("length", "<u4")])
+#: Bytes of archives that a task reads back.
+READ_BYTES = 1 << 25
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 EPOCH = "1970-01-01T00:00:00Z"  # the tables have no capture time
 
@@ -234,5 +236,9 @@ def archive_pages(pages: DataFrame) -> DataFrame:
     payload and a null url an address made from the id. Rows with equal id and payload are all responses;
     with a null id they refer to the largest id, if there is one. No rows give no archive and no rows.
     """
-    frames = stage(list_frames(write_bundles(pages)))
-    return read_records(frames.repartition("path", "at")).drop("payload")
+    bundles = write_bundles(pages)
+    frames = stage(list_frames(bundles))
+    # Rows of frames are small whatever they stand for, so the number of tasks comes from the archives' bytes.
+    facts = frames.agg(F.countDistinct("path").alias("bundles"), F.coalesce(F.sum("packed"), F.lit(0)).alias("packed")).first()
+    tasks = max(facts["bundles"], -(-facts["packed"] // READ_BYTES), 1)
+    return read_records(frames.repartition(tasks, "path", "at")).drop("payload")

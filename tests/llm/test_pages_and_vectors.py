@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 import zstandard
 from pyarrow import fs
+from pyspark.sql import functions as F
 
 from quillforge.llm.bitsliced import Block, search
 from quillforge.llm.html import best_paths, extract_main_text, judge, read_page, text_on, winning_paths
@@ -86,6 +87,12 @@ def test_text_without_what_stands_around(spark):
         assert got[k] == f"Title {k} & more\nFirst part of a text, number {k}.\nSecond part, longer than the first one, <tag>."
 
 
+def test_archives_are_read_back_by_as_many_tasks_as_wrote_them(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").repartition(6)
+    tasks = archive_pages(pages).groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) >= 4 and sum(r["count"] for r in tasks) == pages.count()
+
+
 def test_the_host_outvotes_a_page(spark):
     article = '<div class="story"><p>A story of some length, told at ease, with commas.</p></div>'
     rows = [page(article + '<div class="links-42"><p>short</p></div>', k=k) for k in range(5)]
