@@ -1,4 +1,9 @@
-"""From raw documents to packed training sequences: five stages, each over all that the one before kept."""
+"""From raw documents to packed training sequences: five stages, each over all that the one before kept.
+
+All but the last return the columns they get, whatever else is among them. Null and empty texts pass every stage but the
+first, which judges them like a text without bytes; rows with equal or null ids are documents of their own except as
+copies; texts may be of any length, and no rows give no rows.
+"""
 
 from __future__ import annotations
 
@@ -24,22 +29,22 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, that with the smallest id."""
+    """One document of each group of near copies, that with the smallest id; a null id only where there is no other."""
     return one_of_each(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the passages of 50 words and more that earlier ones have; those that lose every word go."""
+    """Documents without the passages of 50 words and more that ones with smaller ids have; those that lose every word go."""
     return without_passages(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which less than one word in twenty lies in a benchmark passage."""
+    """Documents of which no word, or less than one in twenty, lies in a benchmark passage."""
     return uncontaminated(docs, _table(spark, sf_dir, "benchmark"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the documents and their places in sequences of 1024 tokens."""
+    """The pieces of the documents and their places in sequences of 1024 tokens; a null text is one piece."""
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
@@ -51,7 +56,7 @@ STAGES = [
     ("packing", packing),
 ]
 
-#: SQL can express neither the classifier nor the packing; the tests compare the stages with brute force.
+#: SQL can express neither the classifier nor the packing; tests/llm/test_pipeline_by_hand.py compares each stage with brute force.
 ORACLE_SQL = None
 
 

@@ -136,7 +136,10 @@ def contamination(docs: DataFrame, items: DataFrame, n: int = 13, share: int = 2
 
 
 def uncontaminated(docs: DataFrame, items: DataFrame, n: int = 13, share: int = 20) -> DataFrame:
-    """``docs``, with all its columns, without the contaminated documents."""
+    """``docs``, with all its columns, without the contaminated documents.
+
+    Null and empty texts have no words and stay; repeated rows and null ids are judged by their text like others, of any length.
+    """
     names = unused("_id", docs), unused("_key", docs)
     found = stage(contamination(docs, items, n, share).where("contaminated").select(F.col("doc_id").alias(names[0]), F.col("key").alias(names[1])).distinct())
     on = [F.col("doc_id").cast("long").eqNullSafe(F.col(names[0])), F.xxhash64(F.col("text").cast("string")) == F.col(names[1])]

@@ -239,7 +239,11 @@ def count_buckets(words: DataFrame, model: Model) -> np.ndarray:
 
 
 def learn(docs: DataFrame, shape: Shape = Shape()) -> Model:
-    """Count the words of all ``docs`` (text) and train on every place of each."""
+    """Count the words of all ``docs`` (text) and train on every place of each.
+
+    Null and empty texts have no places, repeated rows are trained on as often as they occur, texts of any length whole;
+    other columns are ignored; without rows the network stays as it starts.
+    """
     counted = stage(count_words(docs))
     common = counted.orderBy(F.desc("n"), "word").limit(shape.common).collect()
     words = np.array([r["word"] for r in common], np.int64).view(np.uint64)

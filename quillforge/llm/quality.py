@@ -111,6 +111,8 @@ def learn(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Classifier:
 
     ``docs`` has doc_id and text, ``labels`` doc_id and quality (1 good, 0 bad, others ignored). What
     reaches the driver is bounded by ``fit``: ids and labels, dictionary pieces, and three numbers a row.
+    Null ids and texts are not learnt from, nor other columns; repeated rows count once a row; of texts of any length
+    pieces are taken; without labels of both kinds the scores say nothing.
     """
     known = labels.select(F.col("doc_id").cast("long"), F.col("quality").cast("int")).where("quality in (0, 1) and doc_id is not null")
     known = known.where(~held_out(F.col("doc_id"))).distinct()
@@ -152,7 +154,8 @@ def learn(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Classifier:
 def score_quality(docs: DataFrame, classifier: Classifier, threshold: float = 0.3) -> DataFrame:
     """doc_id, held_out, score, predicted of every row of ``docs``; text is all that is looked at.
 
-    Null and empty texts get the score of a text without bytes, repeated rows equal scores.
+    Null and empty texts get the score of a text without bytes, repeated rows equal scores. Texts of any length are
+    read whole; other columns are ignored; a null id is in no fold; no rows give no rows.
     """
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,7 +168,10 @@ def score_quality(docs: DataFrame, classifier: Classifier, threshold: float = 0.
 
 
 def keep_good(docs: DataFrame, classifier: Classifier, threshold: float = 0.3) -> DataFrame:
-    """The rows of ``docs``, with all their columns, whose score reaches the threshold."""
+    """The rows of ``docs``, with all their columns, whose score reaches the threshold.
+
+    Null and empty texts are judged as a text without bytes, repeated rows alike, texts of any length whole, ids not at all.
+    """
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -327,6 +327,7 @@ def without_passages(docs: DataFrame, window: int = 50) -> DataFrame:
     """``docs``, with all its columns, the repeated passages cut out of text and n_chars set anew where something was cut.
 
     What lies between kept words stays as it is; a space is where a passage was. Documents that lose every word go.
+    Null and empty texts, and rows without an id, stay as they are; rows of one id are no references to each other; texts may be of any length.
     """
 
     def cut(text: str, own: list[dict]) -> str | None:

@@ -234,7 +234,8 @@ def archive_pages(pages: DataFrame) -> DataFrame:
 
     One row per page: page_id, payload_bytes, payload_digest, record_type, refers_to. Null html is an empty
     payload and a null url an address made from the id. Rows with equal id and payload are all responses;
-    with a null id they refer to the largest id, if there is one. No rows give no archive and no rows.
+    with a null id they refer to the largest id, if there is one. Payloads of any length are one record each; other
+    columns are ignored. No rows give no archive and no rows.
     """
     bundles = write_bundles(pages)
     frames = stage(list_frames(bundles))
