@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from quillforge.functions.chat import dump_json
 from quillforge.functions.markup import html_to_text, markup_to_text, resolve_references
-from quillforge.functions.tokens import token_count
+from quillforge.functions.tokens import length_verdict, token_count, whitespace_tokens
 from quillforge.operators.inference import Completion
 from quillforge.plans.generate import batch_requests, batch_results, generate
 from quillforge.plans.prepare import prepare_training_data
@@ -156,6 +156,25 @@ def tokenizer_counts(spark: SparkSession, folder: str) -> DataFrame:
     return spread(table(spark, folder, "documents"), "doc_id").select("doc_id", token_count(F.col("text"), word_tokenizer).alias("n_tokens"))
 
 
+VERDICT_LIMIT = 600
+_WORDS_SQL = "len(regexp_extract_all(text, '[^ \\t\\n\\r\\f\\v]+'))"
+
+
+@query(
+    "length_verdicts",
+    f"""SELECT doc_id, {_WORDS_SQL} < {VERDICT_LIMIT} AS fits,
+      CASE WHEN strlen(text) < {VERDICT_LIMIT} THEN 'most' WHEN {_WORDS_SQL} // 2 >= {VERDICT_LIMIT} THEN 'least' WHEN text IS NOT NULL THEN 'tokens' END AS decided_by
+    FROM documents""",
+)
+def length_verdicts(spark: SparkSession, folder: str) -> DataFrame:
+    """Which documents are short enough, and what told: only those between the bounds meet the tokenizer."""
+    docs = spread(table(spark, folder, "documents"), "doc_id")
+    # Half the words is a weaker bound than there could be, so that some texts stay open.
+    half = lambda text: F.floor(whitespace_tokens(text) / 2)
+    verdict = length_verdict(F.col("text"), VERDICT_LIMIT, word_tokenizer, least=half)
+    return docs.select("doc_id", verdict.alias("v")).select("doc_id", "v.fits", "v.decided_by")
+
+
 ARCHIVE_DOCUMENTS = 500
 
 

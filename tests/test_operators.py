@@ -11,7 +11,7 @@ from quillforge.functions.chat import has_chat_shape, render_chat, same_prompt,
 from quillforge.functions.markup import markup_to_text
 from quillforge.functions.payload import strip_tags
 from quillforge.functions.prompts import batch_request, generation_prompt, main_prompt, render_prompt
-from quillforge.functions.tokens import token_count, whitespace_tokens
+from quillforge.functions.tokens import length_verdict, token_count, whitespace_tokens
 from quillforge.operators import audits, dedupe, ordering, pairing, pending
 from quillforge.operators.inference import Completion, RateLimited, Retry, infer, with_retry
 from quillforge.schema.samples import EVENT
@@ -73,6 +73,24 @@ def test_tokens(spark):
     assert values(spark, ["abc", None, ""], lambda c: token_count(c, characters)) == [3, None, 0]
 
 
+def test_length_verdicts_equal_counting_all(spark):
+    texts = [None, "", "a b", "abc def", "a b c d e f", "abcdefgh", " \n ", "aé" * 4, "a b c d", "x" * 5, "a b c"]
+    limit = 5
+
+    def words_and_one():
+        return lambda text: [*text.split(), "end"] if len(text) > 1 else text
+
+    got = values(spark, texts, lambda c: length_verdict(c, limit, words_and_one))
+    for text, v in zip(texts, got, strict=True):
+        if text is None:
+            assert tuple(v) == (None, None, None)
+            continue
+        n = len(words_and_one()(text))
+        assert v["fits"] == (n < limit), text
+        assert v["decided_by"] == ("most" if len(text.encode()) < limit else "least" if len(text.split()) >= limit else "tokens")
+        assert v["n_tokens"] == (n if v["decided_by"] == "tokens" else None)
+
+
 def test_markup(spark):
     texts = ["# Title\n\nSome *emphasis* and **bold** `code` [link](http://x)\n\n## Sub\n- item\n", "```py\nx = 1 < 2\n```\nend",
              "<h1 class='a'>T</h1><!-- c --><style>p{}</style><p title=\"a>b\">x &amp; y</p>", "Head\n====\ntext &lt;b&gt;"]
