@@ -65,6 +65,11 @@ def ready_jobs(jobs: DataFrame, listing: DataFrame, batch_file: str, job: str =
     Every place where a key has an ``output`` folder names one possible job, so
     the prefix test becomes an equality join.
     """
+    return jobs.join(finished_jobs(listing, batch_file, job, key).distinct(), job, "left_semi")
+
+
+def finished_jobs(listing: DataFrame, batch_file: str, job: str = "job_id", key: str = "key") -> DataFrame:
+    """The jobs that each key ending in ``<batch_file>.out`` can belong to, one row each, repeated ones too; of streams as of tables."""
     parts = F.split(F.col(key), "/")
     inner = F.sequence(F.lit(2), F.size(parts) - 1)
     owners = F.when(
@@ -74,9 +79,4 @@ def ready_jobs(jobs: DataFrame, listing: DataFrame, batch_file: str, job: str =
             lambda i: F.array_join(F.slice(parts, 1, i - 1), "/"),
         ),
     )
-    finished = (
-        listing.filter(F.endswith(F.col(key), F.lit(f"{batch_file}.out")))
-        .select(F.explode(owners).alias(job))
-        .distinct()
-    )
-    return jobs.join(finished, job, "left_semi")
+    return listing.filter(F.endswith(F.col(key), F.lit(f"{batch_file}.out"))).select(F.explode(owners).alias(job))
