@@ -146,7 +146,8 @@ class TextIds:
     MARK = "\x01"
 
     def __init__(self, path: str):
-        self.table = WordTable(path, self.pre_tokens)
+        # The pipeline's other stages share the workers, so less is remembered than could be.
+        self.table = WordTable(path, self.pre_tokens, words=250_000, pieces=250_000)
         added = [t.content for t in self.table.tokenizer.get_added_tokens_decoder().values()]
         never = "".join(rf"(?!.*{re.escape(a)})" for a in added)
         self.sure = re.compile(rf"(?s:{never})[ -~\n{self.LETTERS}]*").fullmatch

@@ -14,8 +14,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Words and pre-tokens that are remembered (some 0.15 GB), characters of the longest word, and bytes of texts that are split at once.
-WORDS, PIECES, LONGEST, TOGETHER = 600_000, 400_000, 64, 1 << 21
+#: Characters of the longest word that is remembered, and bytes of texts that are split at once.
+LONGEST, TOGETHER = 64, 1 << 21
 #: Stands between pre-tokens; it is in none of them.
 BETWEEN = "￿"
 
@@ -82,9 +82,13 @@ class BytePieces:
 
 
 class WordTable:
-    """Ids of words. ``decompose`` gives the pre-tokens of a word, or None if only the tokenizer itself knows them."""
+    """Ids of words. ``decompose`` gives the pre-tokens of a word, or None if only the tokenizer itself knows them.
 
-    def __init__(self, path: str, decompose: Callable[[str], list[str] | None]):
+    At most about ``words`` words and ``pieces`` pre-tokens are remembered, some 150 bytes each; then it starts again.
+    """
+
+    def __init__(self, path: str, decompose: Callable[[str], list[str] | None], words: int = 600_000, pieces: int = 400_000):
+        self.most_words, self.most_pieces = words, pieces
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core a task
         from tokenizers import Tokenizer
 
@@ -118,10 +122,10 @@ class WordTable:
 
     def rows(self, words: pa.Array) -> np.ndarray:
         """The row of each word, in ``ids``. Rows hold until the next call."""
-        if len(self.words) > WORDS:
+        if len(self.words) > self.most_words:
             self.words.clear()
             self.ids.clear()
-        if len(self.pieces) > PIECES:
+        if len(self.pieces) > self.most_pieces:
             self.pieces.clear()
             self.piece_ids.clear()
         coded = words.dictionary_encode()
