@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillforge.llm.wordtable import Rows, sums, together
+from quillforge.llm.wordtable import Rows, runs, sums
 from quillforge.session import stage
 
 #: A chunk ends with the batch in which it reaches so many documents (bitmaps have a 16-bit range) or postings.
@@ -273,19 +273,16 @@ def pair_index(docs: DataFrame, bytes_path: str, pieces_path: str) -> DataFrame:
             columns = [[task + chunk], [len(listed)], [None], [None], [None], [None], [rows]]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
-        for batch in batches:
-            texts = pc.fill_null(batch.column(1), "")
-            for first, last in together(texts):
-                ids = batch.column(0).slice(first, last - first).to_pylist()
-                own = both.documents(texts.slice(first, last - first).to_pylist())
-                for doc_id, (n_a, n_b, n_groups, shown, pairs, counts) in zip(ids, own, strict=True):
-                    parts.append((len(listed), pairs, counts))
-                    digest = hashlib.sha256(shown.encode()).hexdigest() if shown else ""
-                    listed.append((doc_id, n_a, n_b, n_groups, int(counts.sum()), digest))
-                    postings += len(pairs)
-                    if len(listed) >= CHUNK_DOCUMENTS or postings >= CHUNK_POSTINGS:
-                        yield from flush()
-                        chunk, listed, parts, postings = chunk + 1, [], [], 0
+        for batch in runs(batches):
+            own = both.documents(pc.fill_null(batch.column(1), "").to_pylist())
+            for doc_id, (n_a, n_b, n_groups, shown, pairs, counts) in zip(batch.column(0).to_pylist(), own, strict=True):
+                parts.append((len(listed), pairs, counts))
+                digest = hashlib.sha256(shown.encode()).hexdigest() if shown else ""
+                listed.append((doc_id, n_a, n_b, n_groups, int(counts.sum()), digest))
+                postings += len(pairs)
+                if len(listed) >= CHUNK_DOCUMENTS or postings >= CHUNK_POSTINGS:
+                    yield from flush()
+                    chunk, listed, parts, postings = chunk + 1, [], [], 0
         if listed:
             yield from flush()
 

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillforge.llm.wordtable import WordTable, sums, together
+from quillforge.llm.wordtable import MARK, WordTable, runs, split_all, sums
 from quillforge.session import stage
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -142,30 +142,37 @@ class TextIds:
     LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
     PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[0-9]+| ?[^\s{LETTERS}0-9]+|\s+(?!\S)|\s+"
     WHITE = "\t-\r\x1c-\x20\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-    #: Marks the cuts; a text that has it is cut sign by sign.
-    MARK = "\x01"
-
     def __init__(self, path: str):
         # The pipeline's other stages share the workers, so less is remembered than could be.
         self.table = WordTable(path, self.pre_tokens, words=250_000, pieces=250_000)
         added = [t.content for t in self.table.tokenizer.get_added_tokens_decoder().values()]
-        never = "".join(rf"(?!.*{re.escape(a)})" for a in added)
-        self.sure = re.compile(rf"(?s:{never})[ -~\n{self.LETTERS}]*").fullmatch
-        self.find = re.compile(self.PATTERN).findall
+        self.special = "|".join(map(re.escape, added)) or None
+        # Words with white space inside need the pattern's look-ahead, the others do not.
+        self.plain, self.spaced = rf"^[ \n]?[!-~{self.LETTERS}]*$", rf"^[ -~\n{self.LETTERS}]*$"
+        self.within, self.find = self.PATTERN.replace(r"\s+(?!\S)|\s+", r"\s"), re.compile(self.PATTERN).findall
         self.cut = re.compile(rf"(?<=[^{self.WHITE}])(?=[ \n][^{self.WHITE}])").split
-        self.uneven = rf"[{self.WHITE}][ \n]|[ \n][{self.WHITE}]|^[ \n]|[ \n]$|{self.MARK}"
-
-    def pre_tokens(self, word: str) -> list[str] | None:
-        return self.find(word) if self.sure(word) else None
+        self.uneven = rf"[{self.WHITE}][ \n]|[ \n][{self.WHITE}]|^[ \n]|[ \n]$|{MARK}"
+
+    def pre_tokens(self, words: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+        """(places of the words whose pre-tokens are known, the pre-tokens of these, number of each one's)."""
+        plain, sure = (pc.match_substring_regex(words, p) for p in (self.plain, self.spaced))
+        if self.special:
+            special = pc.match_substring_regex(words, self.special)
+            plain, sure = pc.and_not(plain, special), pc.and_not(sure, special)
+        known, spaced = (np.flatnonzero(x.to_numpy(zero_copy_only=False)) for x in (plain, pc.and_not(sure, plain)))
+        flat, counts = split_all(words.take(pa.array(known)), self.within)
+        lists = [self.find(w) for w in words.take(pa.array(spaced)).to_pylist()]
+        flat = pa.concat_arrays([flat, pa.array([p for own in lists for p in own], pa.string())])
+        return np.concatenate([known, spaced]), flat, np.concatenate([counts, np.array([len(own) for own in lists], np.int64)])
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, number of ids of each text)."""
         marked = texts
         for sign in " \n":
-            marked = pc.replace_substring(marked, sign, self.MARK + sign)
+            marked = pc.replace_substring(marked, sign, MARK + sign)
         # Where white space meets a space or line end, signs on both sides decide.
         uneven = np.flatnonzero(pc.match_substring_regex(texts, self.uneven).to_numpy(zero_copy_only=False)).tolist()
-        words = pc.split_pattern(marked, self.MARK)
+        words = pc.split_pattern(marked, MARK)
         if uneven:
             lists = words.to_pylist()
             for k in uneven:
@@ -192,21 +199,20 @@ def pieces_of(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> Da
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, task = text_ids(tokenizer), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
-        for batch in batches:
-            texts, rows = pc.fill_null(batch.column(1), ""), []
-            for first, last in together(texts):
-                ids, lengths = encoder.ids(texts.slice(first, last - first))
-                ends = np.cumsum(lengths)
-                data = memoryview(np.insert(ids.astype("<u4"), ends, end_id).tobytes())
-                at = 0
-                for doc_id, n in zip(batch.column(0).slice(first, last - first).to_pylist(), (lengths + 1).tolist(), strict=True):
-                    start, stop, piece = 0, n - (n - 1) // capacity * capacity, 0
-                    while start < n:
-                        crc = zlib.crc32(data[4 * (at + start) : 4 * (at + stop)])
-                        rows.append((doc_id, piece, start, stop - start, crc, task, int(seen[stop - start])))
-                        seen[stop - start] += 1
-                        start, stop, piece = stop, stop + capacity, piece + 1
-                    at += n
+        for batch in runs(batches):
+            rows = []
+            ids, lengths = encoder.ids(pc.fill_null(batch.column(1), ""))
+            ends = np.cumsum(lengths)
+            data = memoryview(np.insert(ids.astype("<u4"), ends, end_id).tobytes())
+            at = 0
+            for doc_id, n in zip(batch.column(0).to_pylist(), (lengths + 1).tolist(), strict=True):
+                start, stop, piece = 0, n - (n - 1) // capacity * capacity, 0
+                while start < n:
+                    crc = zlib.crc32(data[4 * (at + start) : 4 * (at + stop)])
+                    rows.append((doc_id, piece, start, stop - start, crc, task, int(seen[stop - start])))
+                    seen[stop - start] += 1
+                    start, stop, piece = stop, stop + capacity, piece + 1
+                at += n
             columns = zip(*rows, strict=True) if rows else [[]] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types_, strict=True)], names)
 

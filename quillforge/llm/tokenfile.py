@@ -13,7 +13,6 @@ each partition writes its own files, and each file is read back by a task of its
 
 from __future__ import annotations
 
-import re
 import struct
 import sys
 import types
@@ -31,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillforge.llm.storage import new_folder, opened
-from quillforge.llm.wordtable import WordTable, sums, together
+from quillforge.llm.wordtable import WordTable, runs, split_all, sums
 from quillforge.session import stage
 
 # The file format: first and last bytes, and the numbers before the last ones.
@@ -221,9 +220,14 @@ class TextIds:
     PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^{LETTERS}0-9]+"
 
     def __init__(self, path: str):
-        self.sure = re.compile(rf"(?!.*<\|)[!-~{self.LETTERS}]*").fullmatch
-        self.split = re.compile(self.PATTERN).findall
-        self.table = WordTable(path, lambda word: self.split(word.lower()) if self.sure(word) else None)
+        self.sure = rf"^[!-~{self.LETTERS}]*$"
+        self.table = WordTable(path, self.pre_tokens)
+
+    def pre_tokens(self, words: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+        """(places of the words whose pre-tokens are known, the pre-tokens of these, number of each one's)."""
+        sure = pc.and_not(pc.match_substring_regex(words, self.sure), pc.match_substring(words, "<|"))
+        known = np.flatnonzero(sure.to_numpy(zero_copy_only=False))
+        return known, *split_all(pc.utf8_lower(words.take(pa.array(known))), self.PATTERN)
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, number of ids of each text)."""
@@ -253,17 +257,15 @@ def tokenised(docs: DataFrame, tokenizer: str, end_id: int, kind: str) -> DataFr
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, place = text_ids(tokenizer), TaskContext.get().partitionId() << 33
-        for batch in batches:
-            texts = pc.fill_null(batch.column(1), "")
-            for first, last in together(texts):
-                ids, lengths = encoder.ids(texts.slice(first, last - first))
-                ends = np.cumsum(lengths)
-                ids = np.insert(ids.astype(kind), ends, end_id)
-                bounds = np.concatenate([[0], ends + np.arange(1, len(ends) + 1)]) * ids.itemsize
-                column = pa.Array.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(ids)])
-                places = np.arange(place, place + len(lengths))
-                place += len(lengths)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), column.cast(pa.binary()), pa.array(places)], ["doc_id", "ids", "place"])
+        for batch in runs(batches):
+            ids, lengths = encoder.ids(pc.fill_null(batch.column(1), ""))
+            ends = np.cumsum(lengths)
+            ids = np.insert(ids.astype(kind), ends, end_id)
+            bounds = np.concatenate([[0], ends + np.arange(1, len(ends) + 1)]) * ids.itemsize
+            column = pa.Array.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(ids)])
+            places = np.arange(place, place + len(lengths))
+            place += len(lengths)
+            yield pa.RecordBatch.from_arrays([batch.column(0), column.cast(pa.binary()), pa.array(places)], ["doc_id", "ids", "place"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(encode, "doc_id long, ids binary, place long")
 

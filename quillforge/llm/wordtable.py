@@ -2,22 +2,27 @@
 
 The words of many texts are told apart by Arrow, each different one is looked up once, and
 the ids of the texts are gathered from one array. New words fall into pre-tokens, and those
-not met before go to the tokenizer's model in one call.
+not met before go to the tokenizer's model, many in one call.
 """
 
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Characters of the longest word that is remembered, and bytes of texts that are split at once.
-LONGEST, TOGETHER = 64, 1 << 21
+LONGEST, TOGETHER = 64, 1 << 22
 #: Stands between pre-tokens; it is in none of them.
 BETWEEN = "￿"
+#: Marks cuts; a word that has it is not split here.
+MARK = "\x01"
+#: Pre-tokens in a text for the model, which takes long texts more slowly.
+IN_A_TEXT = 64
 
 
 class Rows:
@@ -77,17 +82,32 @@ class BytePieces:
 
     def encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, number of ids of each piece); no piece is empty."""
-        found = self.plain.encode(self.mapped(BETWEEN.join(pieces)).replace(self.between, " "), add_special_tokens=False)
-        return np.array(found.ids, np.uint32), np.bincount(np.array(found.word_ids, np.int64), minlength=len(pieces))
+        mapped = self.mapped(BETWEEN.join(pieces)).split(self.between)
+        found = self.plain.encode_batch([" ".join(mapped[k : k + IN_A_TEXT]) for k in range(0, len(mapped), IN_A_TEXT)], add_special_tokens=False)
+        ids, nth = [x.ids for x in found], [x.word_ids for x in found]
+        n = np.array([len(x) for x in ids], np.int64)
+        own = np.fromiter(chain.from_iterable(nth), np.int64, n.sum()) + np.repeat(np.arange(len(n)) * IN_A_TEXT, n)
+        return np.fromiter(chain.from_iterable(ids), np.uint32, n.sum()), np.bincount(own, minlength=len(pieces))
+
+
+def split_all(words: pa.Array, pattern: str) -> tuple[pa.Array, np.ndarray]:
+    """(pre-tokens of all words, number of each word's); the words are without ``MARK`` and the pattern leaves out no sign."""
+    lists = pc.split_pattern(pc.replace_substring_regex(words, f"({pattern})", rf"{MARK}\1"), MARK)
+    # What is before the first mark is empty.
+    first, flat = lists.offsets.to_numpy() - lists.offsets[0].as_py(), lists.flatten()
+    kept = np.ones(len(flat), bool)
+    kept[first[:-1]] = False
+    return flat.filter(pa.array(kept)), np.diff(first) - 1
 
 
 class WordTable:
-    """Ids of words. ``decompose`` gives the pre-tokens of a word, or None if only the tokenizer itself knows them.
+    """Ids of words. ``decompose`` gives, of an array of words, the places of those whose pre-tokens are known, all their
+    pre-tokens, and the number of each one's; the others only the tokenizer itself knows.
 
     At most about ``words`` words and ``pieces`` pre-tokens are remembered, some 150 bytes each; then it starts again.
     """
 
-    def __init__(self, path: str, decompose: Callable[[str], list[str] | None], words: int = 600_000, pieces: int = 400_000):
+    def __init__(self, path: str, decompose: Callable[[pa.Array], tuple[np.ndarray, pa.Array, np.ndarray]], words: int = 600_000, pieces: int = 400_000):
         self.most_words, self.most_pieces = words, pieces
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core a task
         from tokenizers import Tokenizer
@@ -105,20 +125,34 @@ class WordTable:
         found = [np.array(x.ids, self.kind) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         return np.concatenate([*found, np.zeros(0, self.kind)]), np.array([len(x) for x in found], np.int64)
 
-    def _learn(self, words: list[str]) -> None:
-        parts = [self.decompose(w) for w in words]
-        known = [k for k, p in enumerate(parts) if p is not None]
-        rest = [k for k, p in enumerate(parts) if p is None]
-        flat = [p for k in known for p in parts[k]]
-        new = [p for p in dict.fromkeys(flat) if p not in self.pieces]
+    def _piece_rows(self, pieces: pa.Array) -> np.ndarray:
+        """The row of each pre-token, in ``piece_ids``."""
+        coded = pieces.dictionary_encode()
+        different = coded.dictionary.to_numpy(zero_copy_only=False)
+        found = [*map(self.pieces.get, different)]
+        new = [k for k, row in enumerate(found) if row is None]
         if new:
-            self.pieces.update(zip(new, range(self.piece_ids.n, self.piece_ids.n + len(new)), strict=True))
-            self.piece_ids.append(*self.model.encode(new))
-        rows = np.array([self.pieces[p] for p in flat], np.int64)
-        bounds = np.concatenate([[0], np.cumsum([len(parts[k]) for k in known])]).astype(np.int64)
-        for group, (ids, lengths) in ((known, (self.piece_ids.gather(rows), sums(self.piece_ids.lengths(rows), bounds))), (rest, self.whole([words[k] for k in rest]))):
-            self.words.update(zip((words[k] for k in group), range(self.ids.n, self.ids.n + len(group)), strict=True))
+            for row, k in enumerate(new, self.piece_ids.n):
+                found[k] = row
+            own = different[new].tolist()
+            self.pieces.update(zip(own, range(self.piece_ids.n, self.piece_ids.n + len(own)), strict=True))
+            self.piece_ids.append(*self.model.encode(own))
+        return np.array(found, np.int64)[coded.indices.to_numpy()]
+
+    def _learn(self, words: pa.Array) -> np.ndarray:
+        """The row of each word, none of which is in the table."""
+        known, flat, counts = self.decompose(words)
+        unknown = np.ones(len(words), bool)
+        unknown[known] = False
+        rest = np.flatnonzero(unknown)
+        rows, pieces = np.empty(len(words), np.int64), self._piece_rows(flat)
+        bounds = np.concatenate([[0], np.cumsum(counts)])
+        for group, (ids, lengths) in ((known, (self.piece_ids.gather(pieces), sums(self.piece_ids.lengths(pieces), bounds))), (rest, self.whole(words.take(pa.array(rest)).to_pylist()))):
+            rows[group] = np.arange(self.ids.n, self.ids.n + len(group))
             self.ids.append(ids, lengths)
+        kept = np.flatnonzero(pc.utf8_length(words).to_numpy() <= LONGEST)
+        self.words.update(zip(words.take(pa.array(kept)).to_numpy(zero_copy_only=False), rows[kept].tolist(), strict=True))
+        return rows
 
     def rows(self, words: pa.Array) -> np.ndarray:
         """The row of each word, in ``ids``. Rows hold until the next call."""
@@ -129,25 +163,25 @@ class WordTable:
             self.pieces.clear()
             self.piece_ids.clear()
         coded = words.dictionary_encode()
-        different = coded.dictionary.to_pylist()
-        found = [*map(self.words.get, different)]
-        new = [w for w, row in zip(different, found, strict=True) if row is None]
+        found = [*map(self.words.get, coded.dictionary.to_numpy(zero_copy_only=False))]
+        new = [k for k, row in enumerate(found) if row is None]
         if new:
-            self._learn(new)
-            found = [self.words[w] if row is None else row for w, row in zip(different, found, strict=True)]
-        rows = np.array(found, np.int64)[coded.indices.to_numpy()]
-        for w in new:
-            if len(w) > LONGEST:
-                del self.words[w]
-        return rows
-
-
-def together(texts: pa.Array) -> list[tuple[int, int]]:
-    """Consecutive runs of the texts, each of ``TOGETHER`` bytes or one more text."""
-    runs, start, size = [], 0, 0
-    for k, n in enumerate(pc.binary_length(texts).to_pylist()):
-        size += n
-        if size >= TOGETHER or k == len(texts) - 1:
-            runs.append((start, k + 1))
-            start, size = k + 1, 0
-    return runs
+            for k, row in zip(new, self._learn(coded.dictionary.take(pa.array(new))).tolist(), strict=True):
+                found[k] = row
+        return np.array(found, np.int64)[coded.indices.to_numpy()]
+
+
+def runs(batches: Iterator[pa.RecordBatch], column: int = 1) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches in their order, as many at a time as have ``TOGETHER`` bytes of text (one more row may pass that)."""
+    held, size = [], 0
+    for batch in batches:
+        start = 0
+        for k, n in enumerate(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()):
+            size += n
+            if size >= TOGETHER:
+                yield pa.concat_batches([*held, batch.slice(start, k + 1 - start)])
+                held, size, start = [], 0, k + 1
+        if start < batch.num_rows:
+            held.append(batch.slice(start))
+    if held:
+        yield pa.concat_batches(held)
