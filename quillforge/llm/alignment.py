@@ -30,13 +30,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillforge.llm.wordtable import Rows, runs, sums
+from quillforge.llm.packing import TextIds
+from quillforge.llm.wordtable import LONGEST, MARK, Rows, runs, sums
 from quillforge.session import stage
 
 #: A chunk ends with the batch in which it reaches so many documents (bitmaps have a 16-bit range) or postings.
 CHUNK_DOCUMENTS, CHUNK_POSTINGS = 8192, 4_000_000
-#: Words that a worker remembers the alignment of, and characters of the longest of them.
-WORDS, LONGEST = 500_000, 64
+#: Words that a worker remembers the alignment of.
+WORDS = 500_000
 #: Groups of more pairs of places than this have their ids counted first.
 MANY_PAIRS = 4096
 #: A pair is one number: the id of the first tokenizer above that of the second.
@@ -52,9 +53,9 @@ class Side:
     sizes: np.ndarray
 
     @classmethod
-    def of(cls, ids: list[list[int]], spelt: Rows) -> Side:
-        flat = np.fromiter(chain.from_iterable(ids), np.int64, sum(map(len, ids)))
-        return cls(flat, np.array([len(x) for x in ids], np.int64), spelt.lengths(flat))
+    def of(cls, ids: np.ndarray, lengths: np.ndarray, spelt: Rows) -> Side:
+        ids = ids.astype(np.int64)
+        return cls(ids, lengths, spelt.lengths(ids))
 
     def spells(self, spelt: Rows, text: bytes, bounds: np.ndarray) -> np.ndarray:
         """Which of the stretches, whose bytes in ``text`` lie between the bounds, the ids spell."""
@@ -116,24 +117,27 @@ class Aligner:
     def __init__(self, bytes_path: str, pieces_path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core a task
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a, self.b = Tokenizer.from_file(bytes_path), sentencepiece.SentencePieceProcessor(model_file=pieces_path)
-        self.a.encode_special_tokens = True
+        self.table, self.b = TextIds(bytes_path).table, sentencepiece.SentencePieceProcessor(model_file=pieces_path)
+        tokenizer = self.table.tokenizer
+        tokenizer.encode_special_tokens = True
         # Fixed rule of byte-level vocabularies: printable signs of Latin-1 stand for their bytes, the other bytes for signs from 256 on.
         others = [x for x in range(256) if not (33 <= x <= 126 or 161 <= x <= 172 or 174 <= x <= 255)]
         byte_of = {chr(256 + k): x for k, x in enumerate(others)} | {chr(x): x for x in set(range(256)) - set(others)}
-        spelt = [b""] * self.a.get_vocab_size()
-        for token, k in self.a.get_vocab().items():
+        spelt = [b""] * tokenizer.get_vocab_size()
+        for token, k in tokenizer.get_vocab().items():
             spelt[k] = bytes(byte_of[c] for c in token) if all(c in byte_of for c in token) else token.encode()
         pieces = [self.b.id_to_piece(k) for k in range(self.b.get_piece_size())]
         self.a_bytes = self._bytes(spelt)
         self.b_bytes = self._bytes([bytes([int(m[1], 16)]) if (m := self.BYTE.fullmatch(p)) else p.replace(self.SPACE, " ").encode() for p in pieces])
         # The text of each id with what may follow it: another of its side, the other side, the next group.
-        self.shown_as = np.array([[f"{k}{end}" for k in range(max(len(spelt), len(pieces)))] for end in ",|;"], object)
+        self.n_ids = max(len(spelt), len(pieces))
+        self.shown_as = pa.array([f"{k}{end}" for end in ",|;" for k in range(self.n_ids)], pa.large_string())
         # Where a piece reached over the start of a word, texts would have to be taken whole.
         self.by_words = not any(re.search(f"[^{self.SPACE}]{self.SPACE}", p) for p in pieces)
         self.cut = re.compile(r"(?<=\S) (?=\S)").split
+        # Where white space meets a space, signs on both sides decide.
+        self.uneven = rf"[{TextIds.WHITE}] | [{TextIds.WHITE}]|^ | $|^$|{MARK}"
         self.clear()
 
     @staticmethod
@@ -147,54 +151,80 @@ class Aligner:
         self.pairs, self.counts = Rows("i8"), Rows("i8")
         #: Per row the numbers of ids of both sides and of groups.
         self.numbers = np.zeros((3, 0), np.int64)
-        #: Per row the groups as text, each with its end; None where the tokens do not spell the text.
-        self.shown: list[str | None] = []
-
-    def _learn(self, stretches: list[str]) -> None:
-        """Align stretches, each written without the space before it."""
-        text = "".join([" " + s for s in stretches]).encode()
-        bounds = np.concatenate([[0], np.cumsum([len(s.encode()) + 1 for s in stretches])]).astype(np.int64)
-        a = Side.of([x.ids for x in self.a.encode_batch_fast([" " + s for s in stretches], add_special_tokens=False)], self.a_bytes)
-        b = Side.of(self.b.encode(stretches, num_threads=1), self.b_bytes)
+        #: Per row the groups as text, each with its end; null where the tokens do not spell the text.
+        self.shown = pa.array([], pa.large_string())
+
+    def _learn(self, stretches: pa.Array) -> np.ndarray:
+        """Align stretches, each written without the space before it; their rows."""
+        spaced, n = pc.binary_join_element_wise("", stretches, " "), len(stretches)
+        text = "".join(spaced.to_pylist()).encode()
+        bounds = np.concatenate([[0], np.cumsum(pc.binary_length(spaced).to_numpy().astype(np.int64))])
+        a = Side.of(*self.table.encode(spaced), self.a_bytes)
+        ids = self.b.encode(stretches.to_pylist(), num_threads=1)
+        lengths = np.fromiter(map(len, ids), np.int64, n)
+        b = Side.of(np.fromiter(chain.from_iterable(ids), np.int64, lengths.sum()), lengths, self.b_bytes)
         spelt = a.spells(self.a_bytes, text, bounds) & b.spells(self.b_bytes, text, bounds)
         a, b = a.only(spelt), b.only(spelt)
         cuts, in_a, in_b, groups = align(a, b)
         of_group, pairs, counts = link(a, b, in_a, in_b, len(cuts))
-        stretch_of = np.repeat(np.arange(len(stretches)), groups)
-        lengths = np.bincount(stretch_of[of_group], minlength=len(stretches))
-        self.rows.update(zip(stretches, range(len(self.shown), len(self.shown) + len(stretches)), strict=True))
+        lengths = np.bincount(np.repeat(np.arange(n), groups)[of_group], minlength=n)
         self.pairs.append(pairs, lengths)
         self.counts.append(counts, lengths)
         self.numbers = np.concatenate([self.numbers, [a.lengths, b.lengths, groups]], axis=1)
         # The ids of each group's first side, then of its second.
         order = np.argsort(np.concatenate([2 * in_a, 2 * in_b + 1]), kind="stable")
         last_a, last_b = (np.append(g[1:] != g[:-1], True)[: len(g)] for g in (in_a, in_b))
-        parts = self.shown_as[np.concatenate([np.where(last_a, 1, 0), np.where(last_b, 2, 0)])[order], np.concatenate([a.ids, b.ids])[order]].tolist()
-        at = np.concatenate([[0], np.cumsum(a.lengths + b.lengths)]).tolist()
-        self.shown += ["".join(parts[x:y]) if ok else None for x, y, ok in zip(at, at[1:], spelt.tolist(), strict=False)]
+        parts = self.shown_as.take(pa.array((np.concatenate([last_a, 2 * last_b]) * self.n_ids + np.concatenate([a.ids, b.ids]))[order]))
+        shown = joined(parts, a.lengths + b.lengths)
+        rows = np.arange(len(self.shown), len(self.shown) + n)
+        self.shown = pa.concat_arrays([self.shown, pc.if_else(pa.array(spelt), shown, pa.scalar(None, pa.large_string()))])
+        kept = np.flatnonzero(pc.utf8_length(stretches).to_numpy() <= LONGEST)
+        self.rows.update(zip(stretches.take(pa.array(kept)).to_numpy(zero_copy_only=False), rows[kept].tolist(), strict=True))
+        return rows
 
-    def documents(self, texts: list[str]) -> Iterator[tuple[int, int, int, str, np.ndarray, np.ndarray]]:
+    def stretches(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """(stretches of all texts, without the space before each, and the number of each text's)."""
+        if not self.by_words:
+            return texts.filter(pc.not_equal(texts, "")), pc.not_equal(texts, "").to_numpy(zero_copy_only=False).astype(np.int64)
+        uneven = np.flatnonzero(pc.match_substring_regex(texts, self.uneven).to_numpy(zero_copy_only=False)).tolist()
+        split = pc.split_pattern(pc.replace_substring(texts, " ", MARK), MARK)
+        if uneven:
+            lists = split.to_pylist()
+            for k in uneven:
+                lists[k] = self.cut(t) if (t := texts[k].as_py()) else []
+            split = pa.array(lists, pa.list_(pa.string()))
+        return split.flatten(), np.diff(split.offsets.to_numpy()).astype(np.int64)
+
+    def documents(self, texts: pa.Array) -> Iterator[tuple[int, int, int, str, np.ndarray, np.ndarray]]:
         """n_a, n_b, n_groups, groups, pairs and their numbers of links, of each text."""
         if len(self.shown) > WORDS:
             self.clear()
-        split = [(self.cut(t) if self.by_words else [t]) if t else [] for t in texts]
-        new = list(set().union(*split) - self.rows.keys())
+        own, n = self.stretches(texts)
+        coded = own.dictionary_encode()
+        found = [*map(self.rows.get, coded.dictionary.to_numpy(zero_copy_only=False))]
+        new = [k for k, row in enumerate(found) if row is None]
         if new:
-            self._learn(new)
-        for own in split:
-            rows = [self.rows[s] for s in own]
-            shown = [self.shown[r] for r in rows]
-            if not rows or None in shown:
+            for k, row in zip(new, self._learn(coded.dictionary.take(pa.array(new))).tolist(), strict=True):
+                found[k] = row
+        rows = np.array(found, np.int64)[coded.indices.to_numpy()]
+        bounds = np.concatenate([[0], np.cumsum(n)])
+        shown = joined(self.shown.take(pa.array(rows)), n).to_pylist()
+        numbers = np.array([sums(x[rows], bounds) for x in self.numbers]).T.tolist()
+        for own_numbers, text, at, end in zip(numbers, shown, bounds.tolist(), bounds[1:].tolist(), strict=False):
+            if not text:
                 yield 0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int64)
                 continue
-            at = np.array(rows, np.int64)
-            pairs, place = np.unique(self.pairs.gather(at), return_inverse=True)
-            counts = np.zeros(len(pairs), np.int64)
-            np.add.at(counts, place, self.counts.gather(at))
-            yield *self.numbers[:, at].sum(axis=1).tolist(), "".join(shown)[:-1], pairs, counts
-        for s in new:
-            if len(s) > LONGEST:
-                del self.rows[s]
+            pairs, counts = self.pairs.gather(rows[at:end]), self.counts.gather(rows[at:end])
+            order = np.argsort(pairs)
+            pairs = pairs[order]
+            first = np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1]))
+            yield *own_numbers, text[:-1], pairs[first], np.add.reduceat(counts[order], first)
+
+
+def joined(texts: pa.Array, n: np.ndarray) -> pa.Array:
+    """Consecutive texts put together, so many at a time; null if one of them is."""
+    offsets = pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int64())
+    return pc.binary_join(pa.LargeListArray.from_arrays(offsets, texts), pa.scalar("", pa.large_string()))
 
 
 def aligner(bytes_path: str, pieces_path: str) -> Aligner:
@@ -274,7 +304,7 @@ def pair_index(docs: DataFrame, bytes_path: str, pieces_path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
         for batch in runs(batches):
-            own = both.documents(pc.fill_null(batch.column(1), "").to_pylist())
+            own = both.documents(pc.fill_null(batch.column(1), ""))
             for doc_id, (n_a, n_b, n_groups, shown, pairs, counts) in zip(batch.column(0).to_pylist(), own, strict=True):
                 parts.append((len(listed), pairs, counts))
                 digest = hashlib.sha256(shown.encode()).hexdigest() if shown else ""

@@ -139,17 +139,24 @@ class WordTable:
             self.piece_ids.append(*self.model.encode(own))
         return np.array(found, np.int64)[coded.indices.to_numpy()]
 
-    def _learn(self, words: pa.Array) -> np.ndarray:
-        """The row of each word, none of which is in the table."""
+    def encode(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids of each word), without remembering the words."""
+        if len(self.pieces) > self.most_pieces:
+            self.pieces.clear()
+            self.piece_ids.clear()
         known, flat, counts = self.decompose(words)
         unknown = np.ones(len(words), bool)
         unknown[known] = False
-        rest = np.flatnonzero(unknown)
-        rows, pieces = np.empty(len(words), np.int64), self._piece_rows(flat)
-        bounds = np.concatenate([[0], np.cumsum(counts)])
-        for group, (ids, lengths) in ((known, (self.piece_ids.gather(pieces), sums(self.piece_ids.lengths(pieces), bounds))), (rest, self.whole(words.take(pa.array(rest)).to_pylist()))):
-            rows[group] = np.arange(self.ids.n, self.ids.n + len(group))
-            self.ids.append(ids, lengths)
+        rest, pieces, found = np.flatnonzero(unknown), self._piece_rows(flat), Rows(self.kind)
+        found.append(self.piece_ids.gather(pieces), sums(self.piece_ids.lengths(pieces), np.concatenate([[0], np.cumsum(counts)])))
+        found.append(*self.whole(words.take(pa.array(rest)).to_pylist()))
+        rows = np.argsort(np.concatenate([known, rest]))
+        return found.gather(rows), found.lengths(rows)
+
+    def _learn(self, words: pa.Array) -> np.ndarray:
+        """The row of each word, none of which is in the table."""
+        rows = np.arange(self.ids.n, self.ids.n + len(words))
+        self.ids.append(*self.encode(words))
         kept = np.flatnonzero(pc.utf8_length(words).to_numpy() <= LONGEST)
         self.words.update(zip(words.take(pa.array(kept)).to_numpy(zero_copy_only=False), rows[kept].tolist(), strict=True))
         return rows
@@ -159,9 +166,6 @@ class WordTable:
         if len(self.words) > self.most_words:
             self.words.clear()
             self.ids.clear()
-        if len(self.pieces) > self.most_pieces:
-            self.pieces.clear()
-            self.piece_ids.clear()
         coded = words.dictionary_encode()
         found = [*map(self.words.get, coded.dictionary.to_numpy(zero_copy_only=False))]
         new = [k for k, row in enumerate(found) if row is None]

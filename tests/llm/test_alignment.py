@@ -1,15 +1,17 @@
 """Alignment of two tokenizers against whole texts taken by the letter of the definition."""
 
 import hashlib
+import random
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from quillforge.llm import alignment
+from quillforge.llm import alignment, wordtable
 from quillforge.llm.alignment import align_documents, document_scores, pack_postings, pair_index, pair_table, unpack_bitmap, unpack_planes
 
 A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -134,3 +136,20 @@ def test_awkward_rows(spark, awkward):
     by_id = lambda x: Counter((r[0], *r[1:5], r[7]) for r in x)
     assert by_id(map(tuple, (r for r in got if r["doc_id"] not in (7, 8)))) == by_id(expected(rows)[0])
     assert align_documents(awkward.limit(0), A, B).count() == 0
+
+
+def test_runs_of_short_batches_with_odd_spaces(monkeypatch):
+    monkeypatch.setattr(alignment, "WORDS", 40)
+    monkeypatch.setattr(wordtable, "TOGETHER", 300)
+    r = random.Random(5)
+    bits = [" ", " ", "  ", "\n", " \n", " ", "　", "\x01", "\x1c", "a", "don't", "The", "日本", "é", "<|endoftext|>", "▁", "x" * 70, "42"]
+    texts = [*TEXTS, "", *("".join(r.choice(bits) for _ in range(r.randint(0, 15))) for _ in range(400))]
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[k : k + 2], pa.string())], ["text"]) for k in range(0, len(texts), 2)]
+    both = alignment.Aligner(A, B)
+    got = [x for run in wordtable.runs(iter(batches), 0) for x in both.documents(run.column(0))]
+    found, *_ = expected(list(enumerate(texts)))
+    shown = [hashlib.sha256(s.encode()).hexdigest() if s else "" for *_, s, _, _ in got]
+    assert [(*x[:3], int(x[5].sum()), d) for x, d in zip(got, shown, strict=True)] == [(*x[1:5], x[7]) for x in found]
+    both.by_words = False  # as where a piece reaches over a space
+    both.clear()
+    assert [x[:4] for x in both.documents(pa.array(texts))] == [x[:4] for x in got]
