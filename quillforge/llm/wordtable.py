@@ -9,14 +9,13 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Characters of the longest word that is remembered, and bytes of texts that are split at once.
-LONGEST, TOGETHER = 64, 1 << 22
+LONGEST, TOGETHER = 64, 1 << 21
 #: Stands between pre-tokens; it is in none of them.
 BETWEEN = "￿"
 #: Marks cuts; a word that has it is not split here.
@@ -82,12 +81,14 @@ class BytePieces:
 
     def encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, number of ids of each piece); no piece is empty."""
-        mapped = self.mapped(BETWEEN.join(pieces)).split(self.between)
-        found = self.plain.encode_batch([" ".join(mapped[k : k + IN_A_TEXT]) for k in range(0, len(mapped), IN_A_TEXT)], add_special_tokens=False)
-        ids, nth = [x.ids for x in found], [x.word_ids for x in found]
-        n = np.array([len(x) for x in ids], np.int64)
-        own = np.fromiter(chain.from_iterable(nth), np.int64, n.sum()) + np.repeat(np.arange(len(n)) * IN_A_TEXT, n)
-        return np.fromiter(chain.from_iterable(ids), np.uint32, n.sum()), np.bincount(own, minlength=len(pieces))
+        mapped, ids, n = self.mapped(BETWEEN.join(pieces)).split(self.between), [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        # What the tokenizer returns is large, so it is for some texts only.
+        for start in range(0, len(mapped), 64 * IN_A_TEXT):
+            own = mapped[start : start + 64 * IN_A_TEXT]
+            for x in self.plain.encode_batch([" ".join(own[k : k + IN_A_TEXT]) for k in range(0, len(own), IN_A_TEXT)], add_special_tokens=False):
+                ids.append(np.array(x.ids, np.uint32))
+                n.append(np.bincount(np.array(x.word_ids, np.int64), minlength=IN_A_TEXT))
+        return np.concatenate(ids), np.concatenate(n)[: len(pieces)]
 
 
 def split_all(words: pa.Array, pattern: str) -> tuple[pa.Array, np.ndarray]:
