@@ -3,7 +3,7 @@
 A small network sees the words on both sides of a place, not the word itself, and
 gives a probability to every output: a common word, or a bucket of all words with one
 hash. A word's share of its bucket is that of its count over the whole corpus, which
-stays a table and is joined to the texts' words. The score of a text is the sum of the
+stays a table: frequent words are looked up, the texts' rare ones joined to it. The score of a text is the sum of the
 logarithms of what its words get. The network is trained with numpy on every place of
 every document, each task on its own part from common parameters, which are then averaged.
 """
@@ -15,12 +15,21 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillforge.llm.wordhash import mix, word_hashes
+from quillforge.llm.wordhash import mix, texts_word_hashes, word_hashes  # noqa: F401 (the tests take word_hashes from here)
+from quillforge.llm.wordtable import runs
 from quillforge.session import stage
 
+#: Places scored at once.
+AT_ONCE = 4096
+#: Words that are at least one in so many are looked up by the tasks themselves; all others are joined to the table.
+FREQUENT = 1 << 20
+#: The exponentials of logits below this, and their sums, are finite and not 0 as single-precision numbers.
+SAFE = 60.0
+
 
 @dataclass(frozen=True)
 class Shape:
@@ -72,97 +81,149 @@ class Network:
         cuts = np.cumsum([self.parts[n].size for n in self.names])[:-1]
         return Network(self.shape, [p.reshape(self.parts[n].shape) for n, p in zip(self.names, np.split(flat.astype(np.float32), cuts), strict=True)])
 
-    def hidden(self, around: np.ndarray) -> np.ndarray:
-        p = self.parts
-        total = np.repeat(p["bias"][None], len(around), 0)
-        for k in range(around.shape[1]):
-            total += p["embed"][around[:, k]] * p["place"][k]
-        return np.tanh(total)
+    def along(self, around: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(a line of outputs, places in it) in which every target has its own neighbours."""
+        sides = self.shape.sides
+        line = np.c_[around[:, :sides], target, around[:, sides:]]
+        return line.ravel(), np.arange(len(target)) * line.shape[1] + sides
 
     def log_probability(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
-        h, p, slots = self.hidden(around), self.parts, self.shape.slots
-        cls = target // slots
-        out = _log_softmax(h @ p["to_class"].T + p["class_bias"])[np.arange(len(h)), cls].astype(np.float64)
-        for c, rows in _by_class(cls):
-            own = slice(c * slots, (c + 1) * slots)
-            out[rows] += _log_softmax(h[rows] @ p["to_slot"][own].T + p["slot_bias"][own])[np.arange(len(rows)), target[rows] - c * slots]
-        return out
+        return self.log_probability_along(*self.along(around, target))
 
     def gradient(self, around: np.ndarray, target: np.ndarray) -> dict[str, np.ndarray]:
         """Of the mean negative log-probability."""
-        h, p, slots, n = self.hidden(around), self.parts, self.shape.slots, len(target)
-        g = {k: np.zeros_like(v) for k, v in p.items()}
-        cls = target // slots
-        d = np.exp(_log_softmax(h @ p["to_class"].T + p["class_bias"])) / n
-        d[np.arange(n), cls] -= 1 / n
-        g["to_class"], g["class_bias"], back = d.T @ h, d.sum(0), d @ p["to_class"]
-        for c, rows in _by_class(cls):
-            own = slice(c * slots, (c + 1) * slots)
-            d = np.exp(_log_softmax(h[rows] @ p["to_slot"][own].T + p["slot_bias"][own])) / n
-            d[np.arange(len(rows)), target[rows] - c * slots] -= 1 / n
-            g["to_slot"][own], g["slot_bias"][own] = d.T @ h[rows], d.sum(0)
-            back[rows] += d @ p["to_slot"][own]
-        back *= 1 - h * h
-        g["bias"] = back.sum(0)
-        for k in range(around.shape[1]):
-            g["place"][k] = (back * p["embed"][around[:, k]]).sum(0)
-        ids = around.T.ravel()
-        order = np.argsort(ids, kind="stable")
-        into, starts = np.unique(ids[order], return_index=True)
-        spread = (back[None] * p["place"][:, None]).reshape(-1, back.shape[1])
-        g["embed"][into] = np.add.reduceat(spread[order], starts)
-        return g
-
-
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(1, keepdims=True)
-    return x - np.log(np.exp(x).sum(1, keepdims=True))
-
-
-def _by_class(cls: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(cls, kind="stable")
-    values, starts = np.unique(cls[order], return_index=True)
-    return zip(values.tolist(), np.split(order, starts[1:]), strict=True)
+        return self.gradient_along(*self.along(around, target))
+
+    def hidden(self, line: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(the embeddings along the line, what is hidden at the places with a row of ones below); words are columns."""
+        p, sides, width = self.parts, self.shape.sides, self.shape.width
+        seen = p["embed"].T.take(line, axis=1)
+        total = np.zeros((width, len(line) - 2 * sides), seen.dtype)
+        part = np.empty_like(total)
+        for place, near in zip(p["place"], self.near(seen), strict=True):
+            total += np.multiply(near, place[:, None], out=part)
+        h = np.ones((width + 1, len(places)), seen.dtype)
+        np.tanh(total.take(places - sides, axis=1) + p["bias"][:, None], out=h[:width])
+        return seen, h
+
+    def near(self, along: np.ndarray) -> list[np.ndarray]:
+        """What stands at each offset from the inner places of the line."""
+        sides = self.shape.sides
+        return [along[:, sides + k : along.shape[1] - sides + k] for k in self.shape.offsets]
+
+    def logits(self, h: np.ndarray, runs: list[tuple[int, int, int]]) -> tuple[np.ndarray, np.ndarray]:
+        """Of the classes, and of the slots of the places' own classes, which stand in ``runs`` of columns."""
+        p, shape = self.parts, self.shape
+        to_class, to_slot = np.c_[p["to_class"], p["class_bias"]], np.c_[p["to_slot"], p["slot_bias"]]
+        classes, slots = to_class @ h, np.empty((shape.slots, h.shape[1]), h.dtype)
+        for c, start, end in runs:
+            np.matmul(to_slot[c * shape.slots : (c + 1) * shape.slots], h[:, start:end], out=slots[:, start:end])
+        for logits, weights in ((classes, to_class), (slots, to_slot)):
+            if not np.abs(weights).sum(1).max() < SAFE:
+                logits -= logits.max(0)
+        return classes, slots
+
+    def by_class(self, line: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
+        """(order of the places by class, their classes and slots in that order, class, first and last column of each run)."""
+        target = line[places]
+        order = np.argsort((target // self.shape.slots).astype(np.min_scalar_type(self.shape.classes)), kind="stable")
+        cls, slot = np.divmod(target[order], self.shape.slots)
+        bounds = np.searchsorted(cls, np.arange(self.shape.classes + 1)).tolist()
+        return order, cls, slot, [(c, *x) for c, x in enumerate(zip(bounds, bounds[1:], strict=False)) if x[0] < x[1]]
+
+    def log_probability_along(self, line: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """Of what stands at the places of the line, each by its neighbours."""
+        order, cls, slot, runs = self.by_class(line, places)
+        column, out = np.arange(len(places)), np.zeros(len(places))
+        for logits, own in zip(self.logits(self.hidden(line, places[order])[1], runs), (cls, slot), strict=True):
+            picked = logits[own, column]
+            out[order] += picked - np.log(np.ones(len(logits), logits.dtype) @ np.exp(logits, out=logits))
+        return out
+
+    def gradient_along(self, line: np.ndarray, places: np.ndarray) -> dict[str, np.ndarray]:
+        """Of the mean negative log-probability of what stands at the places of the line."""
+        p, shape, n = self.parts, self.shape, len(places)
+        order, cls, slot, runs = self.by_class(line, places)
+        places, column = places[order], np.arange(n)
+        seen, h = self.hidden(line, places)
+        errors = self.logits(h, runs)
+        for d, own in zip(errors, (cls, slot), strict=True):
+            np.exp(d, out=d)
+            d *= 1 / (n * (np.ones(len(d), d.dtype) @ d))
+            d[own, column] -= 1 / n
+        of_class, of_slot = errors[0] @ h.T, np.zeros((shape.outputs, len(h)), h.dtype)
+        back, to_slot = p["to_class"].T @ errors[0], p["to_slot"]
+        for c, start, end in runs:
+            rows, d = slice(c * shape.slots, (c + 1) * shape.slots), errors[1][:, start:end]
+            np.matmul(d, h[:, start:end].T, out=of_slot[rows])
+            back[:, start:end] += to_slot[rows].T @ d
+        back *= 1 - h[:-1] * h[:-1]
+        spread = np.zeros((shape.width, len(line) - 2 * shape.sides), h.dtype)
+        for own, values in zip(spread, back, strict=True):
+            own[places - shape.sides] = values
+        into, part, of_place = np.zeros_like(seen), np.empty_like(spread), []
+        for place, near, words in zip(p["place"], self.near(into), self.near(seen), strict=True):
+            of_place.append(np.einsum("ij,ij->i", words, spread))
+            near += np.multiply(spread, place[:, None], out=part)
+        of_embed = np.array([np.bincount(line, weights=x, minlength=shape.outputs + 1) for x in into], h.dtype).T
+        found = (of_embed, np.array(of_place), back.sum(1), of_class[:, :-1], of_class[:, -1], of_slot[:, :-1], of_slot[:, -1])
+        return {k: np.ascontiguousarray(g) for k, g in zip(self.names, found, strict=True)}
 
 
 @dataclass(frozen=True)
 class Model:
     """Sorted hashes of the common words with their outputs, and the network; of every bucket the logarithm of its
-    smoothed count, and the table (word, n) of all words."""
+    smoothed count, the table (word, n) of all words, and the hashes and counts of the frequent ones, at most ``FREQUENT``."""
 
     hashes: np.ndarray
     outputs: np.ndarray
     network: Network
     buckets: np.ndarray | None = None
     words: DataFrame | None = None
+    frequent: tuple[np.ndarray, np.ndarray] | None = None
 
     def ids(self, words: np.ndarray) -> np.ndarray:
         shape = self.network.shape
         out = (shape.common + (mix(words) % np.uint64(shape.shared)).astype(np.int64)).astype(np.int64)
-        if len(self.hashes):
-            at = np.minimum(np.searchsorted(self.hashes, words), len(self.hashes) - 1)
-            known = self.hashes[at] == words
-            out[known] = self.outputs[at[known]]
+        at = _index(words, self.hashes)
+        out[at >= 0] = self.outputs[at[at >= 0]]
         return out
 
-    def places(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(outputs of all texts' words with an edge between texts, places of the words in it, words of each text)."""
+    def line(self, ids: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(``ids`` of texts of ``n`` words each with an edge between texts, places of the words in it)."""
         shape = self.network.shape
-        own = [self.ids(word_hashes((t or "").encode("utf-8", "surrogatepass"))) for t in texts]
-        edge, n = np.full(shape.sides, shape.outputs), np.array([len(x) for x in own], np.int64)
-        line = np.concatenate([edge, *(part for x in own for part in (x, edge))])
-        starts = shape.sides + np.concatenate([[0], np.cumsum(n + shape.sides)[:-1]])
-        return line, np.repeat(starts - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum()), n
+        line = np.full(len(ids) + shape.sides * (len(n) + 1), shape.outputs)
+        places = np.arange(len(ids)) + shape.sides * np.repeat(np.arange(1, len(n) + 1), n)
+        line[places] = ids
+        return line, places
+
+
+def _index(words: np.ndarray, among: np.ndarray) -> np.ndarray:
+    """The place of each word in ``among``, -1 if it is not there."""
+    return pc.index_in(pa.array(words), value_set=pa.array(among)).fill_null(-1).to_numpy()
+
+
+def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of the words of all texts, words of each); a null text has none."""
+    return texts_word_hashes([t or b"" for t in texts.cast(pa.binary()).to_pylist()])
 
 
 def count_words(docs: DataFrame) -> DataFrame:
-    """word (its hash), n over all documents, summed in each batch before the shuffle."""
+    """word (its hash), n over all documents, summed over some million words before the shuffle."""
+
+    def summed(found: list[np.ndarray]) -> pa.RecordBatch:
+        word, n = np.unique(np.concatenate(found), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n)], ["word", "n"])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [word_hashes((t or "").encode("utf-8", "surrogatepass")) for t in batch.column(0).to_pylist()]
-            word, n = np.unique(np.concatenate(found), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n)], ["word", "n"])
+        held = []
+        for batch in runs(batches, 0):
+            held.append(_words(batch.column(0))[0])
+            if sum(map(len, held)) >= 1 << 21:
+                yield summed(held)
+                held = []
+        if held:
+            yield summed(held)
 
     return docs.select(F.col("text").cast("string")).mapInArrow(read, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -174,30 +235,29 @@ def train_round(docs: DataFrame, model: Model, number: int, piece: int = 4096) -
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         network = model.network.filled(model.network.flat())
         squares = {k: np.full_like(v, 1e-6) for k, v in network.parts.items()}
-        held, seen = [], 0
-        offsets = np.array(shape.offsets)
+        line, places, seen = np.zeros(0, np.int64), np.zeros(0, np.int64), 0
 
-        def step(rows: np.ndarray) -> None:
-            for k, g in network.gradient(rows[:, :-1], rows[:, -1]).items():
+        def step(own: np.ndarray) -> None:
+            start = own[0] - shape.sides
+            for k, g in network.gradient_along(line[start : own[-1] + shape.sides + 1], own - start).items():
                 squares[k] += g * g
                 network.parts[k] -= shape.rate * g / np.sqrt(squares[k])
 
-        for batch in batches:
-            texts, salt = batch.column(0).to_pylist(), batch.column(1).to_numpy(zero_copy_only=False)
-            for at in range(0, len(texts), 64):
-                line, places, n = model.places(texts[at : at + 64])
-                within = np.arange(len(places)) - np.repeat(np.cumsum(n) - n, n)
-                places = places[(within + np.repeat(salt[at : at + 64], n) + number) % shape.rounds == 0]
-                held.append(np.c_[line[places[:, None] + offsets], line[places]])
-                if sum(map(len, held)) >= shape.batch:
-                    rows = np.concatenate(held)
-                    for k in range(0, len(rows) - shape.batch + 1, shape.batch):
-                        step(rows[k : k + shape.batch])
-                        seen += shape.batch
-                    held = [rows[len(rows) // shape.batch * shape.batch :]]
-        if held and len(rows := np.concatenate(held)):
-            step(rows)
-            seen += len(rows)
+        for batch in runs(batches, 0):
+            words, n = _words(batch.column(0))
+            added, at = model.line(model.ids(words), n)
+            within, salt = np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n), batch.column(1).to_numpy(zero_copy_only=False)
+            at = at[(within + np.repeat(salt, n) + number) % shape.rounds == 0]
+            places, line = np.concatenate([places, at + len(line)]), np.concatenate([line, added])
+            whole = len(places) // shape.batch * shape.batch
+            for k in range(0, whole, shape.batch):
+                step(places[k : k + shape.batch])
+            seen += whole
+            rest = places[whole] - shape.sides if whole < len(places) else len(line)
+            line, places = line[rest:], places[whole:] - rest
+        if len(places):
+            step(places)
+            seen += len(places)
         flat = network.flat().astype(np.float64) * seen
         for k in range(0, len(flat) if seen else 0, piece):
             yield pa.RecordBatch.from_pydict({"piece": [k // piece], "seen": [seen], "sums": [flat[k : k + piece].tobytes()]}, schema=schema)
@@ -251,26 +311,10 @@ def learn(docs: DataFrame, shape: Shape = Shape()) -> Model:
     model = Model(words[order], order.astype(np.int64), Network(shape))
     for number in range(shape.rounds):
         model = replace(model, network=train_round(docs, model, number))
-    return replace(model, buckets=count_buckets(counted, model), words=counted)
-
-
-def bucket_words(rows: DataFrame, model: Model) -> DataFrame:
-    """text_hash, word, k: how often the texts of ``rows`` (text_hash, text) have each of their words that share an output, copies once a batch."""
-    common = model.network.shape.common
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = dict(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
-            hashes, words, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-            for key, text in texts.items():
-                own, n = np.unique(word_hashes((text or "").encode("utf-8", "surrogatepass")), return_counts=True)
-                shared = model.ids(own) >= common
-                words.append(own[shared])
-                counts.append(n[shared])
-                hashes.append(np.full(shared.sum(), key, np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hashes)), pa.array(np.concatenate(words).view(np.int64)), pa.array(np.concatenate(counts))], ["text_hash", "word", "k"])
-
-    return rows.mapInArrow(read, "text_hash long, word long, k long")
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    frequent = counted.where(F.col("n") * FREQUENT >= total).select("word", "n").toArrow()
+    frequent = (frequent["word"].to_numpy().view(np.uint64), frequent["n"].to_numpy())
+    return replace(model, buckets=count_buckets(counted, model), words=counted, frequent=frequent)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -283,37 +327,42 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """
     shape, counted = model.network.shape, model.words
     model = replace(model, words=None)
-    offsets = np.array(shape.offsets)
-    # Of the whole count of its bucket; the word's own count is joined below.
+    # Of the whole count of its bucket; a rare word's own count is joined below.
     less = np.concatenate([np.zeros(shape.common), model.buckets])
+    logs_of_frequent = np.log(model.frequent[1] + shape.smoothing)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(2).to_pylist()
-            sums, counts, bucket_sums, shared = [], [], [], []
-            for at in range(0, len(texts), 64):
-                line, places, n = model.places(texts[at : at + 64])
-                parts = [places[k : k + 16_384] for k in range(0, len(places), 16_384)]
-                logs = [model.network.log_probability(line[p[:, None] + offsets], line[p]) for p in parts]
-                upto = np.concatenate([[0], np.cumsum(n)])
-                shares = np.concatenate([[0], np.cumsum(less[line[places]])])[upto]
-                shared.append(np.diff(np.concatenate([[0], np.cumsum(line[places] >= shape.common)])[upto]))
-                ends = np.concatenate([[0], np.cumsum(np.concatenate([np.zeros(0), *logs]))])[np.concatenate([[0], np.cumsum(n)])]
-                sums.append(np.diff(ends))
-                bucket_sums.append(np.diff(shares))
-                counts.append(n)
-            n, total = np.concatenate(counts), np.concatenate(sums)
-            total[n == 0] = 0.0
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n), pa.array(total), pa.array(np.concatenate(bucket_sums)), pa.array(np.concatenate(shared))], ["doc_id", "text_hash", "n_tokens", "total", "buckets", "shared"])
+        for batch in runs(batches, 2):
+            words, n = _words(batch.column(2))
+            ids, row = model.ids(words), np.repeat(np.arange(len(n)), n)
+            line, places = model.line(ids, n)
+            logs = [np.zeros(0)]
+            for k in range(0, len(places), AT_ONCE):
+                own = places[k : k + AT_ONCE]
+                start = own[0] - shape.sides
+                logs.append(model.network.log_probability_along(line[start : own[-1] + shape.sides + 1], own - start))
+            shared = ids >= shape.common
+            words, own = words[shared], row[shared]
+            at = _index(words, model.frequent[0])
+            known = at >= 0
+            sums = ((row, np.concatenate(logs)), (row, less[ids]), (own[known], logs_of_frequent[at[known]]))
+            rare = np.bincount(own[~known], minlength=len(n))
+            # Of the copies of a text in a batch one has the words.
+            first = np.zeros(len(n), bool)
+            first[np.unique(batch.column(1).to_numpy(), return_index=True)[1]] = True
+            bounds = np.concatenate([[0], np.cumsum(rare * first)])
+            listed = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(words[~known & first[own]].view(np.int64)))
+            columns = [batch.column(0), batch.column(1), pa.array(n), *(pa.array(np.bincount(r, x, len(n)).astype(float)) for r, x in sums), pa.array(rare), listed]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "n_tokens", "total", "buckets", "known", "rare", "words"])
 
     text = F.col("text").cast("string")
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
-    scored = rows.mapInArrow(read, "doc_id long, text_hash long, n_tokens long, total double, buckets double, shared long")
-    own = bucket_words(rows.select("text_hash", "text"), model).join(counted, "word", "left")
+    kinds = "doc_id long, text_hash long, n_tokens long, total double, buckets double, known double, rare long, words array<long>"
+    scored = stage(rows.mapInArrow(read, kinds))
+    own = scored.select("text_hash", F.explode("words").alias("word")).join(counted, "word", "left")
     # The mean is the same over any number of copies of a text.
-    logs = F.sum(F.col("k") * F.log(F.coalesce("n", F.lit(0)) + F.lit(shape.smoothing)))
-    own = own.groupBy("text_hash").agg((logs / F.sum("k")).alias("own"))
-    words = F.col("total") - F.col("buckets") + F.col("shared") * F.coalesce("own", F.lit(0.0))
+    own = own.groupBy("text_hash").agg(F.avg(F.log(F.coalesce("n", F.lit(0)) + F.lit(shape.smoothing))).alias("own"))
+    words = F.col("total") - F.col("buckets") + F.col("known") + F.col("rare") * F.coalesce("own", F.lit(0.0))
     mean = [F.when(F.col("n_tokens") > 0, total / F.col("n_tokens")) for total in (F.col("total"), words)]
-    scored = scored.join(own, "text_hash", "left")
+    scored = scored.drop("words").join(own, "text_hash", "left")
     return scored.select("doc_id", "n_tokens", F.col("total").alias("log_probability"), mean[0].alias("per_token"), words.alias("word_log_probability"), mean[1].alias("per_word"))

@@ -10,6 +10,8 @@ BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 MIX_1, MIX_2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 #: Bytes hashed at once; a text is cut between words.
 AT_ONCE = 1 << 18
+#: Bytes of short texts hashed together.
+TOGETHER = 1 << 16
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
@@ -57,8 +59,29 @@ def word_hashes(data: bytes) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
 
 
+def texts_word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """``word_hashes`` of all texts one after the other, and how many words each has; short texts are hashed together."""
+    parts, counts, start = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
+    sizes = np.array([len(t) for t in texts], np.int64)
+    while start < len(texts):
+        end = start + max(1, int(np.searchsorted(np.cumsum(sizes[start : start + TOGETHER] + 1), TOGETHER, "right")))
+        if sizes[start] > TOGETHER:
+            parts.append(word_hashes(texts[start]))
+            counts.append(np.array([len(parts[-1])]))
+        else:  # white space between them, so that no word reaches over
+            data = b" ".join(texts[start:end])
+            first, last = word_spans(data)
+            parts.append(_span_hashes(data, first, last))
+            counts.append(np.diff(np.searchsorted(first, np.cumsum(sizes[start:end] + 1)), prepend=0))
+        start = end
+    return np.concatenate(parts), np.concatenate(counts)
+
+
 def _hashes(data: bytes) -> np.ndarray:
-    first, last = word_spans(data)
+    return _span_hashes(data, *word_spans(data))
+
+
+def _span_hashes(data: bytes, first: np.ndarray, last: np.ndarray) -> np.ndarray:
     up, down = powers(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((np.frombuffer(data, np.uint8) + np.uint64(1)) * up[: len(data)], out=sums[1:])

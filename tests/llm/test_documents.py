@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models, pre_tokenizers
 
 from quillforge.llm import pseudolikelihood, substring
@@ -400,3 +401,79 @@ def test_every_place_is_trained_on(spark):
         moved = pseudolikelihood.train_round(docs, start, number).parts["class_bias"]
         targets.update(np.flatnonzero(moved > 0).tolist())
     assert targets == dict.fromkeys(range(6), 1)
+
+
+def test_frequent_words_are_looked_up_and_only_rare_ones_joined(spark, awkward, monkeypatch):
+    docs = awkward.select("doc_id", "text").unionByName(spark.createDataFrame([(k, f"a b{k % 3} c{k % 7} d{k} a") for k in range(20, 60)], DOCS))
+    others = docs.unionByName(spark.createDataFrame([(99, "unseen a b1 unseen"), (99, "unseen a b1 unseen")], DOCS))
+    shape = pseudolikelihood.Shape(common=2, shared=4, slots=2)
+    staged, keep = [], pseudolikelihood.stage
+    monkeypatch.setattr(pseudolikelihood, "stage", lambda df: staged.append(keep(df)) or staged[-1])
+    scored, joined = [], []
+    for most in (1 << 20, 16, 1):
+        monkeypatch.setattr(pseudolikelihood, "FREQUENT", most)
+        model = pseudolikelihood.learn(docs, shape)
+        counts = collections.Counter(dict(map(tuple, model.words.collect())))
+        assert len(model.frequent[0]) == sum(n * most >= counts.total() for n in counts.values()) <= most
+        scored.append(sorted(pseudolikelihood.score(others, model).collect(), key=str))
+        joined.append(staged[-1].select(F.sum(F.size("words"))).first()[0])
+    assert joined[0] in (2, 4) and 100 < joined[1] == joined[2]  # at first the unseen word alone, of one copy or both
+    for rows in scored[1:]:
+        for got, plain in zip(rows, scored[0], strict=True):
+            assert got[:4] == plain[:4] and got[4] == pytest.approx(plain[4], rel=1e-9)
+    for r in scored[0]:
+        assert (r["per_word"] is None) == (r["n_tokens"] == 0)
+
+
+def test_words_of_many_texts_are_hashed_as_those_of_each(awkward, spark):
+    from quillforge.llm import wordhash
+
+    texts = [(t or "").encode() for _, t in awkward.select("doc_id", "text").collect()]
+    texts += [b"a", b"", b" a", b"a ", b"x" * wordhash.TOGETHER, b"y" * (wordhash.TOGETHER + 1), b"z\n" * wordhash.TOGETHER, b"\xff\xfe b"] + [b"k %d" % k for k in range(40_000)]
+    hashes, n = wordhash.texts_word_hashes(texts)
+    own = [wordhash.word_hashes(t) for t in texts]
+    assert n.tolist() == [len(x) for x in own] and (hashes == np.concatenate(own)).all()
+    assert [len(x) for x in wordhash.texts_word_hashes([])] == [0, 0]
+
+
+@pytest.mark.parametrize("size", [1, 200])  # the larger logits overflow unless the greatest is taken off
+def test_places_of_a_line_against_plain_formulas(size):
+    shape = pseudolikelihood.Shape(common=8, shared=8, slots=4, sides=2, width=5)
+    network, r = pseudolikelihood.Network(shape), np.random.default_rng(2)
+    network.parts = {k: v * (size if "_" in k else 1) + r.normal(0, size, v.shape).astype(np.float32) for k, v in network.parts.items()}
+    line = np.concatenate([[16, 16], r.integers(0, 16, 60), [16, 16]])
+    places, p = np.arange(2, 62)[r.random(60) < 0.6], {k: v.astype(np.float64) for k, v in network.parts.items()}
+    expected, around = [], np.stack([line[places + k] for k in shape.offsets], 1)
+    for words, target in zip(around, line[places], strict=True):
+        h = np.tanh(p["bias"] + sum(p["embed"][w] * place for w, place in zip(words, p["place"], strict=True)))
+        c = target // 4
+        own = slice(4 * c, 4 * c + 4)
+        parts = (p["to_class"] @ h + p["class_bias"], c), (p["to_slot"][own] @ h + p["slot_bias"][own], target % 4)
+        expected.append(sum(x[k] - x.max() - np.log(np.exp(x - x.max()).sum()) for x, k in parts))
+    assert network.log_probability_along(line, places) == pytest.approx(np.array(expected), rel=2e-4, abs=2e-4)
+    plain = network.gradient(around, line[places])
+    for name, g in network.gradient_along(line, places).items():
+        assert np.isfinite(g).all() and g.shape == plain[name].shape and g.dtype == np.float32
+        assert np.abs(g - plain[name]).max() < 1e-5 * max(1, np.abs(plain[name]).max())
+
+
+def test_batches_of_places_reach_over_texts(spark):
+    texts = ["a b c d e f g", "", "h", "a c e g i k m o q s u w y " * 5, None, "b a", "c b a d"]
+    docs = spark.createDataFrame(list(enumerate(texts)), DOCS).coalesce(1)
+    start = pseudolikelihood.learn(docs, pseudolikelihood.Shape(common=8, shared=8, slots=4, width=3, rounds=0))
+    shape = pseudolikelihood.Shape(common=8, shared=8, slots=4, width=3, rounds=2, batch=5)
+    start = pseudolikelihood.Model(start.hashes, start.outputs, pseudolikelihood.Network(shape))
+    salts = [r[0] for r in docs.select(F.pmod(F.xxhash64("text"), F.lit(2))).collect()]
+    for number in range(2):
+        rows = []
+        for salt, text in zip(salts, texts, strict=True):
+            ids = [16] * 3 + start.ids(pseudolikelihood.word_hashes((text or "").encode())).tolist() + [16] * 3
+            rows += [[ids[k + o] for o in (*shape.offsets, 0)] for k in range(3, len(ids) - 3) if (k - 3 + salt + number) % 2 == 0]
+        network = pseudolikelihood.Network(shape)
+        squares = {k: np.full_like(v, 1e-6) for k, v in network.parts.items()}
+        for k in range(0, len(rows), 5):
+            own = np.array(rows[k : k + 5])
+            for name, g in network.gradient(own[:, :-1], own[:, -1]).items():
+                squares[name] += g * g
+                network.parts[name] -= shape.rate * g / np.sqrt(squares[name])
+        assert pseudolikelihood.train_round(docs, start, number).flat() == pytest.approx(network.flat(), abs=1e-4)
